@@ -6,10 +6,12 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -39,11 +41,38 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/larder-{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/larder-{name}-{uuid.uuid4().hex}")
+    path = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
     atexit.register(_delete, spark, path)
     return path
 
 
+def store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a URI and the path in it, for files that are not Spark tables."""
+    return pafs.FileSystem.from_uri(uri if uri.startswith("file:///") else uri.replace("file:/", "file:///", 1))
+
+
+@contextmanager
+def whole_file(uri: str, attempt: int) -> Iterator[pa.NativeFile]:
+    """A new file that gets its name only once it is complete, so repeated and lost attempts do no harm."""
+    fs, path = store(uri)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(f"{path}.{attempt}.tmp") as out:
+        yield out
+    fs.move(f"{path}.{attempt}.tmp", path)
+
+
+def map_file(uri: str, dtype: str) -> np.ndarray:
+    """A flat file as an array: memory-mapped where it is a local path, else read."""
+    fs, path = store(uri)
+    if not fs.get_file_info(path).size:
+        return np.zeros(0, dtype)
+    if isinstance(fs, pafs.LocalFileSystem):
+        return np.memmap(path, dtype, "r")
+    with fs.open_input_file(path) as f:
+        return np.frombuffer(f.read(), dtype)
+
+
 def put(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there and any executor can go."""
     path = scratch(df.sparkSession, name)
