@@ -3,10 +3,10 @@
 Labels are per document, so word labels are derived first: in the training sample, a hashed word or
 prefix is toxic if it is in so many more toxic than clean documents that chance would give less
 than one such feature; its words in toxic documents are labelled 1. A two-state chain with hashed
-features (word, prefixes, ending, neighbours) is fitted to these labels by its exact likelihood.
+features (word, prefixes) is fitted to these labels by its exact likelihood.
 Forward and backward messages are scans over 2 x 2 matrices, restarted at every document, so a
 batch of documents is one vectorised pass however long they are. A document's score joins its
-words' marginals: the negative log-chance that no word is toxic, mapped to a probability by a
+words' marginals: the negative log-chance that no word is toxic (marginals under ``NOISE`` left out), mapped to a probability by a
 logistic curve fitted on the same sample.
 
 The sample: at most ``POSITIVE`` toxic and ``NEGATIVE`` clean labelled documents of at most
@@ -35,22 +35,27 @@ from larder.llm.langid import fold
 from larder.llm.sampling import per_class
 
 POSITIVE, NEGATIVE, LONGEST = 1000, 3000, 20_000
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 #: Digits, lower-case letters and all bytes above ASCII.
 LETTERS = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 PREFIXES = (4, 5, 6, 7)
+#: Words with a smaller marginal say nothing of their document; else long texts would add up to toxic ones.
+NOISE = 0.1
+#: A toxic feature is in at least so many times more toxic documents than its share of clean ones makes likely.
+RATIO = 6.0
 BLOCK = 128
 
 
 def features(words: Words) -> np.ndarray:
-    """Hashed features of each word: word, prefixes, ending, word before and after (0 at the ends of a text)."""
-    s, e, h = words.starts, words.ends, words.hash
-    before, after = np.zeros_like(h), np.zeros_like(h)
-    same = words.row[1:] == words.row[:-1]
-    before[1:] = np.where(same, h[:-1], 0)
-    after[:-1] = np.where(same, h[1:], 0)
-    columns = [h, *(words.span_hash(s, np.minimum(s + n, e)) for n in PREFIXES), words.span_hash(np.maximum(e - 3, s), e), before, after]
-    return np.stack([(mix(c + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64)) & np.uint64(BUCKETS - 1)).astype(np.int32) for i, c in enumerate(columns)])
+    """Hashed features of each word: the word itself and its prefixes (in bytes)."""
+    s, e = words.starts, words.ends
+    columns = [words.hash, *(words.span_hash(s, np.minimum(s + n, e)) for n in PREFIXES)]
+    return np.stack([mix(c + np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64)) for i, c in enumerate(columns)])
+
+
+def buckets(feats: np.ndarray) -> np.ndarray:
+    """Where the weights of hashed features stand."""
+    return (feats & np.uint64(BUCKETS - 1)).astype(np.int32)
 
 
 def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,7 +90,7 @@ def scan(m: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Crf:
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
     bias: float = 0.0
     trans: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     start: np.ndarray = field(default_factory=lambda: np.zeros(2))
@@ -115,9 +120,9 @@ class Crf:
         if not len(words.starts):
             return np.zeros(0), np.zeros(n)
         first = np.concatenate(([True], words.row[1:] != words.row[:-1]))
-        alpha, beta, _ = self.messages(features(words), first)
+        alpha, beta, _ = self.messages(buckets(features(words)), first)
         p = self.marginal(alpha, beta)
-        return p, np.bincount(words.row, -np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=n)
+        return p, np.bincount(words.row, np.where(p >= NOISE, -np.log1p(-np.minimum(p, 1 - 1e-9)), 0.0), minlength=n)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         if self.prior is not None:
@@ -126,19 +131,38 @@ class Crf:
 
 
 def word_labels(feats: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Labels of the words: 1 in toxic documents where the word or a prefix is a toxic feature."""
-    share = toxic.mean()
-    keys = feats[: 1 + len(PREFIXES)].astype(np.int64)
-    marked = np.zeros(feats.shape[1], bool)
-    for key in keys:
-        once = np.unique(key * len(toxic) + row)
-        bucket, doc = once // len(toxic), once % len(toxic)
-        yes = np.bincount(bucket[toxic[doc]], minlength=BUCKETS)
-        no = np.bincount(bucket[~toxic[doc]], minlength=BUCKETS)
-        least = max(3, np.ceil(np.log(max(2, (yes > 0).sum())) / -np.log(share)))
-        ratio = (yes / toxic.sum()) / ((no + 0.5) / (~toxic).sum())
-        marked |= ((yes >= least) & (ratio >= 10))[key]
-    return marked & toxic[row]
+    """Labels of the words: 1 in toxic documents where the word or a prefix is a toxic feature.
+
+    Features are chosen one by one, by the toxic documents that no feature chosen before explains:
+    so what copies of one toxic document share by chance is not taken for toxic itself. Then those
+    are added that stand in documents explained by several of the chosen ones.
+    """
+    names, key = np.unique(feats, return_inverse=True)
+    key = key.reshape(feats.shape)
+    pairs = np.unique((key * len(toxic) + row).ravel())
+    bucket, doc = pairs // len(toxic), pairs % len(toxic)
+    chance = (np.bincount(bucket[~toxic[doc]], minlength=len(names)) + 0.5) * (toxic.sum() / (~toxic).sum())
+    mine = toxic[doc]
+    bucket, doc = bucket[mine], doc[mine]
+    least = np.maximum(max(3, np.ceil(np.log(max(2, len(np.unique(bucket)))) / -np.log(toxic.mean()))), chance + 5 * np.sqrt(chance))
+    yes = np.bincount(bucket, minlength=len(names))
+    marked = (yes >= least) & (yes >= RATIO * chance)
+    some = marked[bucket]
+    bucket, doc = bucket[some], doc[some]
+    chosen, by = np.zeros(len(names), bool), np.full(len(toxic), -1)
+    while True:
+        open_ = by[doc] < 0
+        yes = np.bincount(bucket[open_], minlength=len(names))
+        fit = np.where((yes >= least) & (yes >= RATIO * chance), yes - RATIO * chance, -1)
+        best = int(fit.argmax())
+        if fit[best] < 0:
+            break
+        by[doc[(bucket == best) & open_]] = chosen.sum()
+        chosen[best] = True
+    n = int(chosen.sum())
+    several = np.unique((bucket * n + by[doc])[by[doc] >= 0]) // max(n, 1)
+    chosen |= marked & (np.bincount(several, minlength=len(names)) >= min(4, max(n, 1)))
+    return chosen[key].any(0) & toxic[row]
 
 
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5, decay: float = 1e-4) -> Crf:
@@ -147,10 +171,12 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5
     if not len(toxic) or toxic.all() or not toxic.any():
         model.prior = float(toxic.mean()) if len(toxic) else 0.0
         return model
+    unlike = sorted({t: i for i, t in enumerate(texts)}.values())  # a copy tells nothing new
+    texts, toxic = [texts[i] for i in unlike], toxic[unlike]
     words = Words(pa.array(texts, pa.string()), LETTERS)
     feats, first = features(words), np.concatenate(([True], words.row[1:] != words.row[:-1]))
     y = word_labels(feats, words.row, toxic)
-    n = len(y)
+    feats, n = buckets(feats), len(y)
     if not y.any():
         model.prior = float(toxic.mean())
         return model
@@ -169,7 +195,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5
             grad += np.bincount(f, error, minlength=BUCKETS)
         grad -= decay * n * model.weights / BUCKETS
         square += grad**2
-        model.weights += rate * grad / np.sqrt(square)
+        model.weights += (rate * grad / np.sqrt(square)).astype(np.float32)
         g = float(error.sum())
         sb += g * g
         model.bias += rate * g / np.sqrt(sb)
@@ -184,15 +210,14 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """One-variable logistic regression by Newton steps, classes weighted alike; the slope is kept positive."""
-    w = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    """One-variable logistic regression by Newton steps; the slope is kept positive."""
     b, design = np.array([1.0, -x.mean()]), np.stack((x, np.ones_like(x)), 1)
-    for _ in range(30):
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ b, -30, 30)))
-        g = design.T @ (w * (y - p)) - ridge * b
-        h = (design * (w * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
+        g = design.T @ (y - p) - ridge * b
+        h = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
         step = np.linalg.solve(h, g)
-        b = b + step * min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
+        b = b + step * min(1.0, 1.0 / max(1e-9, np.abs(step).max()))
     return max(float(b[0]), 1e-3), float(b[1])
 
 
