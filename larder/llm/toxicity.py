@@ -42,7 +42,7 @@ PREFIXES = (4, 5, 6, 7)
 #: Words with a smaller marginal say nothing of their document; else long texts would add up to toxic ones.
 NOISE = 0.1
 #: A toxic feature is in at least so many times more toxic documents than its share of clean ones makes likely.
-RATIO = 6.0
+RATIO = 4.0
 BLOCK = 128
 
 
