@@ -1,11 +1,12 @@
 """The queries of this subpackage and the SQL that DuckDB can check them with."""
 
-from larder.llm import chat, decontam, langid, packing, simhash, tokens, topk, toxicity, warc
+from larder.llm import chat, decontam, langid, licences, packing, simhash, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_simhash": simhash.op2_simhash,
     "op3_topk": topk.op3_topk,
+    "op4_licences": licences.op4_licences,
     "op5_token_files": tokens.op5_token_files,
     "op6_warc": warc.op6_warc,
     "op7_packing": packing.op7_packing,
@@ -17,6 +18,7 @@ QUERIES = {
 ORACLES = {
     "op1_decontaminate": decontam.OP1_SQL,
     "op3_topk": topk.OP3_SQL,
+    "op4_licences": licences.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
     "op8_chat": chat.OP8_SQL,
 }
