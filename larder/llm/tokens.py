@@ -14,6 +14,7 @@ gives a manifest without parts. Texts are encoded whole.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -32,18 +33,22 @@ _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class Encoder:
-    """Whole texts to ids, as the tokenizers library gives them, with repeated words encoded once.
-
-    The pre-tokenizers of the two kinds known here never join what a lone blank between two
-    non-blanks parts: byte-level splitting puts the blank at the front of the next word, the word
-    pattern drops it. So the words of a text are encoded apart and looked up again when they
-    recur. Texts with the string of a special token, and all texts of other tokenizers, are encoded in one.
+    """Whole texts to ids, as the tokenizers library gives them, with recurring words encoded once.
+
+    The pre-tokenizers of the two kinds known here never join what a lone blank or line feed between
+    two non-blanks parts: byte-level splitting puts the blank at the front of the next word and makes
+    the line feed a token, the word pattern drops both. So the words of a text are encoded apart,
+    many at once with a separator between them whose id cuts the result, and looked up when they
+    recur. Texts with the string of a special token, and all texts of other tokenizers, are encoded
+    in one.
     """
 
-    #: Words kept at most; a full table starts anew.
-    WORDS = 200_000
+    #: Words of a generation; the one before is kept too, older words are forgotten unless they recur.
+    WORDS = 120_000
+    _made: dict[str, Encoder] = {}
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,54 +57,79 @@ class Encoder:
         pre = spec["pre_tokenizer"] or {}
         first = (pre.get("pretokenizers") or [{}])[0]
         normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]]) if n]
-        self.kind = "whole"
+        self.kind, self.mark, self.front = "whole", "", ""
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not normal:
-            self.kind = "blank"
+            self.kind, self.mark, self.front = "blank", "\n", " "
         elif first.get("type") == "Split" and first["pattern"].get("Regex") == _WORDS and first["invert"] and set(normal) <= {"NFC", "Replace", "Lowercase"}:
-            self.kind = "drop"
-        self.words: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+            self.kind, self.mark = "drop", "\x01"
+        self.line = self.ids(["\n"])[0]
+        mark = np.frombuffer(self.ids([self.mark])[0], "<u4")
+        self.cut = int(mark[0]) if len(mark) == 1 else None
+        # (this generation, the one before) of words and of first words of a line
+        self.words: list[dict[str, bytes]] = [{}, {}]
+        self.heads: list[dict[str, bytes]] = [{}, {}]
         self.odd = re.compile(r"\s\s|^\s|\s$")
         self.lone = re.compile(r"(?<=\S) (?=\S)")
+        self.space = re.compile(r"[\s\x01]")
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """One for each worker process, so that words are still known in its next task."""
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
 
-    def learn(self, table: dict[str, bytes], words: set[str], front: str) -> None:
-        new = list(words - table.keys())
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            table.update(zip(part, self.ids([front + w for w in part])))
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, tables: list[dict[str, bytes]], words: set[str], front: str) -> dict[str, bytes]:
+        """A table that knows all of ``words``."""
+        if len(tables[0]) > self.WORDS:
+            tables[:] = [{}, tables[0]]
+        table, before = tables
+        new = []
+        for w in words - table.keys():
+            if w in before:
+                table[w] = before[w]
+            else:
+                new.append(w)
+        plain = [w for w in new if w and not self.space.search(w)] if self.cut is not None else []
+        between = self.mark if self.kind == "blank" else f" {self.mark} "
+        for i in range(0, len(plain), 2000):
+            part = plain[i : i + 2000]
+            flat = self.ids([between.join([front + w for w in part])])[0]
+            cuts = np.flatnonzero(np.frombuffer(flat, "<u4") == self.cut).tolist()
+            if len(cuts) == len(part) - 1:
+                table.update(zip(part, [flat[4 * s : 4 * e] for s, e in zip([0, *[c + 1 for c in cuts]], [*cuts, len(flat) // 4])]))
+        rest = [w for w in new if w not in table]
+        table.update(zip(rest, self.ids([front + w if w else "" for w in rest])))
+        return table
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null is an empty text."""
         out: list[bytes] = [b""] * len(texts)
-        parts: list[tuple[int, list[str]]] = []
-        whole = []
+        lines: list[tuple[int, list[list[str]]]] = []
         for i, text in enumerate(texts):
             if not text:
                 continue
             if self.kind == "whole" or any(s in text for s in self.special):
-                whole.append(i)
-            elif self.kind == "drop" or not self.odd.search(text):
-                parts.append((i, text.split(" ")))
+                out[i] = self.ids([text])[0]
+            elif self.kind == "drop":
+                lines.append((i, [text.replace("\n", " ").split(" ")]))
+            elif not self.odd.search(text):
+                lines.append((i, [line.split(" ") for line in text.split("\n")]))
             else:
-                parts.append((i, self.lone.split(text)))
-        for i in whole:
-            out[i] = self.ids([texts[i]])[0]
-        if len(self.words) > self.WORDS:
-            self.words.clear()
-            self.heads.clear()
-        self.learn(self.heads, {p[0] for _, p in parts}, "")
-        self.learn(self.words, set().union(*(p[1:] for _, p in parts)), " " if self.kind == "blank" else "")
-        for i, p in parts:
-            out[i] = self.heads[p[0]] + b"".join(map(self.words.__getitem__, p[1:]))
+                lines.append((i, [self.lone.split(text)]))
+        heads = self.learn(self.heads, {p[0] for _, ps in lines for p in ps}, "")
+        words = self.learn(self.words, set().union(*(p[1:] for _, ps in lines for p in ps)), self.front).__getitem__
+        for i, ps in lines:
+            out[i] = self.line.join([heads[p[0]] + b"".join(map(words, p[1:])) for p in ps])
         return out
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[object, bytes]]:
     """(doc_id, ids with the end id) of each row."""
-    encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+    encoder, end = Encoder.of(path), np.array([end_id], "<u4").tobytes()
     for batch in slices(batches, "text"):
         for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
             yield doc, ids + end
