@@ -114,15 +114,38 @@ def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
+class SpanHash:
+    """64-bit hashes of spans of one byte array: polynomials, so a span costs the same however long it is."""
+
+    _powers: tuple[np.ndarray, np.ndarray] | None = None
+    _base = np.uint64(0x9E3779B97F4A7C15)
+    _tables = np.random.default_rng(7).integers(1, 2**64, (2, 256), dtype=np.uint64)
+
+    def __init__(self, data: np.ndarray, table: int = 0) -> None:
+        up, self.down = self.powers(len(data) + 1)
+        self.sum = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self._tables[table][data] * up[: len(data)], out=self.sum[1:])
+
+    @classmethod
+    def powers(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of the base and of its inverse modulo 2**64."""
+        if cls._powers is None or len(cls._powers[0]) < n:
+            n = max(n, 1 << 16)
+            inverse = np.uint64(pow(int(cls._base), -1, 1 << 64))
+            cls._powers = tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)))) for b in (cls._base, inverse))
+        return cls._powers
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash of the bytes of each span, the same wherever the span stands."""
+        return mix((self.sum[ends] - self.sum[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
 class Words:
     """Words of a column of texts as arrays: byte start and end, 64-bit hash, owning row.
 
     ``letters`` marks the bytes (after ASCII lower-casing) that are part of a word.
     """
 
-    _powers: tuple[np.ndarray, np.ndarray] | None = None
-    _base = np.uint64(0x9E3779B97F4A7C15 | 1)
-    _table = np.random.default_rng(7).integers(1, 2**64, 256, dtype=np.uint64)
     LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
     def __init__(self, column: pa.Array, letters: np.ndarray) -> None:
@@ -141,24 +164,11 @@ class Words:
         self.row = np.searchsorted(self.offsets, self.starts, side="right") - 1
         self.count = np.bincount(self.row, minlength=len(column)).astype(np.int64)
         self.first = np.concatenate(([0], np.cumsum(self.count)))
+        self.spans = SpanHash(self.data)
         self.hash = self.span_hash(self.starts, self.ends)
 
-    @classmethod
-    def powers(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Powers of the base and of its inverse modulo 2**64."""
-        if cls._powers is None or len(cls._powers[0]) < n:
-            n = max(n, 1 << 16)
-            inverse = np.uint64(pow(int(cls._base), -1, 1 << 64))
-            cls._powers = tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)))) for b in (cls._base, inverse))
-        return cls._powers
-
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A hash of the bytes of each span, the same wherever the span stands."""
-        up, down = self.powers(len(self.data) + 1)
-        if not hasattr(self, "_sum"):
-            self._sum = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(self._table[self.data] * up[: len(self.data)], out=self._sum[1:])
-        return mix((self._sum[ends] - self._sum[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        return self.spans.of(starts, ends)
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()

@@ -15,36 +15,47 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import map_file, scratch, slices, store, whole_file
+from larder.llm.common import SpanHash, map_file, scratch, slices, store, text_bytes, whole_file
 
 NULL_ID = -(1 << 63)
 #: The word pattern (fixed value of the vocabulary file) that drops white space and never crosses it.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+#: White space: the ASCII ones (with the information separators, to be careful) and the others in UTF-8.
+_SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_WIDE = [int.from_bytes(chr(c).encode(), "big") for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All positions of the spans, one span after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 class Encoder:
     """Whole texts to ids, as the tokenizers library gives them, with recurring words encoded once.
 
     The pre-tokenizers of the two kinds known here never join what a lone blank or line feed between
     two non-blanks parts: byte-level splitting puts the blank at the front of the next word and makes
-    the line feed a token, the word pattern drops both. So the words of a text are encoded apart,
-    many at once with a separator between them whose id cuts the result, and looked up when they
-    recur. Texts with the string of a special token, and all texts of other tokenizers, are encoded
-    in one.
+    the line feed a token, the word pattern drops both. So a text is cut before each of these; a piece
+    is known again by two 64-bit hashes and its length, in arrays over a whole batch, and new pieces
+    are encoded many at once, with a separator between them whose id cuts the result. Texts with the
+    string of a special token, and all texts of other tokenizers, are encoded in one.
     """
 
-    #: Words of a generation; the one before is kept too, older words are forgotten unless they recur.
-    WORDS = 120_000
+    #: Pieces kept at most; a full table starts anew.
+    PIECES = 1_000_000
     _made: dict[str, Encoder] = {}
 
     def __init__(self, path: str) -> None:
@@ -57,81 +68,124 @@ class Encoder:
         pre = spec["pre_tokenizer"] or {}
         first = (pre.get("pretokenizers") or [{}])[0]
         normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]]) if n]
-        self.kind, self.mark, self.front = "whole", "", ""
+        self.kind, self.mark = "whole", ""
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not normal:
-            self.kind, self.mark, self.front = "blank", "\n", " "
+            self.kind, self.mark = "blank", "\n"
         elif first.get("type") == "Split" and first["pattern"].get("Regex") == _WORDS and first["invert"] and set(normal) <= {"NFC", "Replace", "Lowercase"}:
-            self.kind, self.mark = "drop", "\x01"
-        self.line = self.ids(["\n"])[0]
-        mark = np.frombuffer(self.ids([self.mark])[0], "<u4")
-        self.cut = int(mark[0]) if len(mark) == 1 else None
-        # (this generation, the one before) of words and of first words of a line
-        self.words: list[dict[str, bytes]] = [{}, {}]
-        self.heads: list[dict[str, bytes]] = [{}, {}]
-        self.odd = re.compile(r"\s\s|^\s|\s$")
-        self.lone = re.compile(r"(?<=\S) (?=\S)")
-        self.space = re.compile(r"[\s\x01]")
+            self.kind, self.mark = "drop", " \x01 "
+        self.line = np.array(self.ids("\n"), "<u4")
+        mark = self.ids(self.mark)
+        self.cut = mark[0] if len(mark) == 1 else None
+        self.forget()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        """One for each worker process, so that words are still known in its next task."""
+        """One for each worker process, so that pieces are still known in its next task."""
         if path not in cls._made:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, tables: list[dict[str, bytes]], words: set[str], front: str) -> dict[str, bytes]:
-        """A table that knows all of ``words``."""
-        if len(tables[0]) > self.WORDS:
-            tables[:] = [{}, tables[0]]
-        table, before = tables
-        new = []
-        for w in words - table.keys():
-            if w in before:
-                table[w] = before[w]
-            else:
-                new.append(w)
-        plain = [w for w in new if w and not self.space.search(w)] if self.cut is not None else []
-        between = self.mark if self.kind == "blank" else f" {self.mark} "
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            flat = self.ids([between.join([front + w for w in part])])[0]
-            cuts = np.flatnonzero(np.frombuffer(flat, "<u4") == self.cut).tolist()
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def forget(self) -> None:
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of each piece."""
+        out: list[np.ndarray | None] = [None] * len(pieces)
+        # a piece without white space but at its front, and without the separator
+        bare = [p[1:] if p[0] in " \n" else p for p in pieces]
+        easy = [i for i, p in enumerate(bare) if self.cut is not None and p and p.isprintable() and " " not in p]
+        for low in range(0, len(easy), 2000):
+            part = easy[low : low + 2000]
+            ids = np.array(self.ids(self.mark.join([bare[i] if pieces[i][0] == "\n" else pieces[i] for i in part])), "<u4")
+            cuts = np.flatnonzero(ids == self.cut)
             if len(cuts) == len(part) - 1:
-                table.update(zip(part, [flat[4 * s : 4 * e] for s, e in zip([0, *[c + 1 for c in cuts]], [*cuts, len(flat) // 4])]))
-        rest = [w for w in new if w not in table]
-        table.update(zip(rest, self.ids([front + w if w else "" for w in rest])))
-        return table
+                for i, s, e in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                    out[i] = np.concatenate((self.line, ids[s:e])) if pieces[i][0] == "\n" else ids[s:e]
+        return [np.array(self.ids(p), "<u4") if x is None else x for p, x in zip(pieces, out)]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, column: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null is an empty text."""
-        out: list[bytes] = [b""] * len(texts)
-        lines: list[tuple[int, list[list[str]]]] = []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if self.kind == "whole" or any(s in text for s in self.special):
-                out[i] = self.ids([text])[0]
-            elif self.kind == "drop":
-                lines.append((i, [text.replace("\n", " ").split(" ")]))
-            elif not self.odd.search(text):
-                lines.append((i, [line.split(" ") for line in text.split("\n")]))
+        column = pc.fill_null(column, "")
+        whole = np.full(len(column), self.kind == "whole")
+        for s in self.special:
+            whole |= pc.match_substring(column, s).to_numpy(zero_copy_only=False)
+        flat = np.zeros(0, "<u4")
+        data, offsets = text_bytes(column)
+        bounds = np.zeros(len(column) + 1, np.int64)
+        if len(data) and not whole.all():
+            starts, sizes, row = self.cuts(data, offsets)
+            found = self.lookup(data, starts, starts + sizes)
+            if found is None:  # two pieces with one hash: never seen
+                whole[:] = True
             else:
-                lines.append((i, [self.lone.split(text)]))
-        heads = self.learn(self.heads, {p[0] for _, ps in lines for p in ps}, "")
-        words = self.learn(self.words, set().union(*(p[1:] for _, ps in lines for p in ps)), self.front).__getitem__
-        for i, ps in lines:
-            out[i] = self.line.join([heads[p[0]] + b"".join(map(words, p[1:])) for p in ps])
-        return out
+                where, n = self.at[found], self.size[found]
+                flat = self.pool[_spans(where, n)]
+                bounds = np.concatenate(([0], np.cumsum(np.bincount(row, n, len(column)).astype(np.int64))))
+        out = flat.tobytes()
+        return [np.array(self.ids(column[i].as_py()), "<u4").tobytes() if w else out[4 * s : 4 * e] for i, (w, s, e) in enumerate(zip(whole, bounds[:-1].tolist(), bounds[1:].tolist()))]
+
+    @staticmethod
+    def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, size and row of all pieces; a piece begins with a row or with a lone separator."""
+        space = _SPACE[data]
+        two = np.flatnonzero(data[:-1] == 0xC2)
+        two = two[np.isin(data[two + 1], [0x85, 0xA0])]
+        three = np.flatnonzero((data[:-2] >= 0xE1) & (data[:-2] <= 0xE3))
+        three = three[np.isin((data[three].astype(np.int32) << 16) | (data[three + 1].astype(np.int32) << 8) | data[three + 2], _WIDE)]
+        for at, n in ((two, 2), (three, 3)):
+            for i in range(n):
+                space[at + i] = True
+        padded = np.ones(len(data) + 2, bool)
+        padded[1:-1] = space
+        edge = np.zeros(len(data), bool)
+        full = offsets[:-1] < offsets[1:]
+        edge[offsets[:-1][full]] = True
+        edge[offsets[1:][full] - 1] = True
+        lone = ((data == 32) | (data == 10)) & ~padded[:-2] & ~padded[2:] & ~edge
+        lone[offsets[:-1][full]] = True
+        starts = np.flatnonzero(lone)
+        row = np.searchsorted(offsets, starts, side="right") - 1
+        return starts, np.append(starts[1:], len(data)) - starts, row
+
+    def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """The place in the table of each piece, new ones learnt."""
+        hashes = SpanHash(data)
+        key, check = hashes.of(starts, ends), SpanHash(data, 1).of(starts, ends)
+        names, first, back = np.unique(key, return_index=True, return_inverse=True)
+        if (check[first][back] != check).any():
+            return None
+        if len(self.key) + len(names) > self.PIECES:
+            self.forget()
+        at = np.searchsorted(self.key, names)
+        known = np.zeros(len(names), bool)
+        near = at < len(self.key)
+        known[near] = self.key[at[near]] == names[near]
+        if (self.check[at[known]] != check[first[known]]).any():
+            return None
+        new = first[~known]
+        if len(new):
+            raw = data.tobytes()
+            ids = self.pieces([raw[s:e].decode() for s, e in zip(starts[new].tolist(), ends[new].tolist())])
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            where = len(self.pool) + np.cumsum(size) - size
+            self.pool = np.concatenate((self.pool, *ids))
+            merged = np.concatenate((self.key, key[new]))
+            order = np.argsort(merged, kind="stable")
+            self.key = merged[order]
+            self.check, self.at, self.size = (np.concatenate(x)[order] for x in ((self.check, check[new]), (self.at, where), (self.size, size)))
+            at = np.searchsorted(self.key, names)
+        return at[back]
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[object, bytes]]:
     """(doc_id, ids with the end id) of each row."""
     encoder, end = Encoder.of(path), np.array([end_id], "<u4").tobytes()
     for batch in slices(batches, "text"):
-        for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+        for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
             yield doc, ids + end
 
 
