@@ -7,9 +7,9 @@ number of documents asks for, so that look-ups stay short, and as many as it tak
 at the threshold with a chance of at most ``miss``. Matches whose complete distance is too large are dropped and
 the rest is verified on the shingle sets themselves.
 
-Verification goes in rounds: every document tries its smallest open partner, verified pairs are
-joined to components, and pairs within a component need no check. So a group of n copies costs
-about n checks, not n squared.
+Verification goes in rounds: every document tries its smallest open partners, one at first and
+sixteen times as many in each later round; verified pairs are joined to components, and pairs within
+a component need no check. So a group of n copies costs about n checks, not n squared.
 
 Defined results: exact copies (equal words after ASCII lower-casing, null and empty texts among
 them) are a group; rows with a null doc_id are kept; repeated rows of an id and text leave one;
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,7 +81,7 @@ def candidates(prints: DataFrame, width: int, segments: int, words: int, similar
     query = prints.select(F.explode(F.array(*value)).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa")
 
     def most(bits: int) -> int:
-        return math.floor(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
+        return math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
 
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= most(64))
     pairs = query.join(table, (query["key"] == table["key"]) & near).select("a", "b").distinct()
@@ -122,11 +123,13 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
     texts = put(by_ids(plain, put(ids, "ids"), "left_semi").dropDuplicates(["doc_id", "text"]).withColumnRenamed("doc_id", "id"), "texts")
     # rows of one sha are linked through their representative, whatever ids they have
     links = put(narrow.join(reps.select("sha", "id"), "sha").where("doc_id <> id").select(F.col("id").alias("u"), F.col("doc_id").alias("v")).distinct(), "copies")
-    found = None
+    found, tries = None, 1
     while not open_.isEmpty():
-        tried = put(open_.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried")
-        good = put(_similar(tried, texts, size, similarity).distinct(), "good")
-        links = links.unionByName(good.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        rank = F.row_number().over(W.partitionBy("b").orderBy("a"))
+        tried = put(open_.withColumn("n", rank).where(F.col("n") <= tries).select("a", "b"), "tried")
+        tries *= 16
+        good = _similar(tried, texts, size, similarity).distinct()
+        links = put(links.unionByName(good.select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
         found = put(components(links), "groups")
         left = open_.join(tried, ["a", "b"], "left_anti")
         for side in "ab":
