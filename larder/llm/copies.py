@@ -7,7 +7,8 @@ number of documents asks for, so that look-ups stay short, and as many as it tak
 at the threshold with a chance of at most ``miss``. Matches whose complete distance is too large are dropped and
 the rest is verified on the shingle sets themselves.
 
-Verification goes in rounds: every document tries its smallest open partners, one at first and
+Verification goes in rounds. Two linear ones try only the smallest and the largest id of each segment
+value; then all pairs of different components are listed and every document tries its smallest open partners, one at first and
 sixteen times as many in each later round; verified pairs are joined to components, and pairs within
 a component need no check. So a group of n copies costs about n checks, not n squared.
 
@@ -72,27 +73,38 @@ def _narrow(docs: DataFrame, size: int, words: int) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def candidates(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a < b) of ``prints(id, fp)`` that share a segment up to a bit and whose complete distance is small."""
+def candidates(prints: DataFrame, width: int, segments: int, words: int, similarity: float, star: str = "") -> DataFrame:
+    """Distinct pairs (a < b) of ``prints(id, fp, group)`` that share a segment up to a bit, whose complete distance is small and whose groups differ.
+
+    With ``star`` only the smallest ("min") or largest ("max") id of each segment value answers a
+    look-up, so there are no more pairs than look-ups.
+    """
     each, p = 64 // width, bit_difference(similarity)
     value = [F.lit(i << 32).bitwiseOR(segment(F.col("fp")[i // each], i % each * width, width)) for i in range(segments)]
     masks = F.array(*map(F.lit, ball(width, 1)))
-    table = prints.select(F.explode(F.array(*value)).alias("key"), F.col("id").alias("b"), F.col("fp")[0].alias("fb"))
-    query = prints.select(F.explode(F.array(*value)).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa")
+    table = prints.select(F.explode(F.array(*value)).alias("key"), F.struct(F.col("id").alias("b"), F.col("fp")[0].alias("fb"), F.col("group").alias("gb")).alias("t"))
+    if star:
+        table = table.groupBy("key").agg(getattr(F, star)("t").alias("t"))
+    table = table.select("key", "t.*")
+    query = prints.select(F.explode(F.array(*value)).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa", "ga")
 
     def most(bits: int) -> int:
         return math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
 
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= most(64))
-    pairs = query.join(table, (query["key"] == table["key"]) & near).select("a", "b").distinct()
+    near = (F.col("ga") != F.col("gb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= most(64))
+    near = near if star else near & (F.col("a") < F.col("b"))
+    pairs = query.join(table, (query["key"] == table["key"]) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     left, right = prints.select(F.col("id").alias("a"), F.col("fp").alias("fa")), prints.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
     apart = sum((F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(words)), F.lit(0))
     return pairs.join(left, "a").join(right, "b").where(apart <= most(64 * words)).select("a", "b")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets are similar enough."""
-    left, right = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+def _similar(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs of ids whose shingle sets are similar enough."""
+    ids = put(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = put(by_ids(plain, ids, "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
+    left, right = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ta"):
@@ -103,7 +115,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -
                 keep.append(both >= similarity * (len(u) + len(v) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
 def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -117,25 +129,33 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
     width, segments, words = plan(docs.count(), similarity, miss)
     narrow = put(_narrow(docs, size, words), "narrow")
     reps = put(narrow.groupBy("sha").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp")), "reps")
-    open_ = put(candidates(reps.groupBy("id").agg(F.first("fp").alias("fp")), width, segments, words, similarity), "pairs")
-    ids = open_.select(F.col("a").alias("doc_id")).union(open_.select("b")).distinct()
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = put(by_ids(plain, put(ids, "ids"), "left_semi").dropDuplicates(["doc_id", "text"]).withColumnRenamed("doc_id", "id"), "texts")
+    prints = put(reps.groupBy("id").agg(F.first("fp").alias("fp")), "prints")
     # rows of one sha are linked through their representative, whatever ids they have
     links = put(narrow.join(reps.select("sha", "id"), "sha").where("doc_id <> id").select(F.col("id").alias("u"), F.col("doc_id").alias("v")).distinct(), "copies")
-    found, tries = None, 1
+    found = put(components(links), "groups")
+
+    def grow(pairs: DataFrame) -> None:
+        nonlocal links, found
+        good = _similar(pairs, docs, size, similarity)
+        links = put(links.unionByName(good.select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
+        found = put(components(links), "groups")
+
+    def grouped() -> DataFrame:
+        return prints.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "fp", F.coalesce("component", "id").alias("group"))
+
+    # stars first: they join most of a large group, whose pairs then needn't be listed
+    for star in ("min", "max"):
+        grow(put(candidates(grouped(), width, segments, words, similarity, star), "stars"))
+    open_, tries = put(candidates(grouped(), width, segments, words, similarity), "pairs"), 1
     while not open_.isEmpty():
         rank = F.row_number().over(W.partitionBy("b").orderBy("a"))
         tried = put(open_.withColumn("n", rank).where(F.col("n") <= tries).select("a", "b"), "tried")
         tries *= 16
-        good = _similar(tried, texts, size, similarity).distinct()
-        links = put(links.unionByName(good.select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
-        found = put(components(links), "groups")
+        grow(tried)
         left = open_.join(tried, ["a", "b"], "left_anti")
         for side in "ab":
             left = left.join(found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
         open_ = put(left.where("ca is null or cb is null or ca <> cb").select("a", "b"), "pairs")
-    found = found if found is not None else components(links)
     named = narrow.select("doc_id").distinct().join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return named.select("doc_id", F.coalesce("component", "doc_id").alias("group"))
 
