@@ -77,7 +77,7 @@ def chunks(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[np.nda
                 yield part.column("vec_id").to_numpy(zero_copy_only=False)[own].astype(np.int64), taken.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
 
 
-def _histograms(rows: DataFrame, block, low: np.ndarray, width: np.ndarray, k: int) -> DataFrame:
+def _histograms(rows: DataFrame, block, low: np.ndarray, width: np.ndarray, k: int, shift: int) -> DataFrame:
     """Per query: counts of the scores in each bin of its range; the count of what lies above it under bin BINS."""
     state = rows.sparkSession.sparkContext.broadcast((low, width))
 
@@ -88,7 +88,7 @@ def _histograms(rows: DataFrame, block, low: np.ndarray, width: np.ndarray, k: i
         base = np.arange(n)[:, None] * m
         for ids, matrix in chunks(batches, b.matrix.shape[1]):
             score, own = b.scores(ids, matrix)
-            at = np.clip((score - lo[:, None]) // step[:, None], -1, BINS) + 1  # 0: below the range
+            at = np.clip(((score >> shift) - lo[:, None]) // step[:, None], -1, BINS) + 1  # 0: below the range
             at[own] = 0
             total += np.bincount((base + at).ravel(), minlength=n * m)
         total = total.reshape(n, m)
@@ -102,14 +102,19 @@ def _histograms(rows: DataFrame, block, low: np.ndarray, width: np.ndarray, k: i
     return rows.mapInArrow(count, "query long, bin int, n long").groupBy("query", "bin").agg(F.sum("n").alias("n"))
 
 
-def _kth(rows: DataFrame, block, k: int, bound: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each query of the block the k-th highest score (the lowest, if there are fewer) and how many are above it."""
-    n = len(block.value.ids)
+def _kth(rows: DataFrame, block, k: int, bound: int) -> np.ndarray:
+    """For each query of the block the k-th highest score (the lowest, if there are fewer).
+
+    Scores that may need more than 60 bits are compared without their last ones; the result is then
+    a little lower, never higher.
+    """
+    shift = max(0, bound.bit_length() - 60)
+    n, bound = len(block.value.ids), (bound >> shift) + 1
     low, width = np.full(n, -bound, np.int64), np.full(n, -(-(2 * bound + 1) // BINS), np.int64)
     while True:
         above, found = np.zeros(n, np.int64), np.full(n, -1)
         counts: list[dict[int, int]] = [{} for _ in range(n)]
-        for q, b, c in _histograms(rows, block, low, width, k).collect():  # at most about k bins a query and partition sum to BINS
+        for q, b, c in _histograms(rows, block, low, width, k, shift).collect():  # at most about k bins a query and partition sum to BINS
             counts[q][b] = c
         for q, c in enumerate(counts):
             for b in sorted(c, reverse=True):
@@ -119,7 +124,7 @@ def _kth(rows: DataFrame, block, k: int, bound: int) -> tuple[np.ndarray, np.nda
                 above[q] += c[b]
         low = np.where(found >= 0, low + found * width, low)
         if (width == 1).all():
-            return low, above
+            return np.array([max(-(1 << 63), min((1 << 63) - 1, int(x) << shift)) for x in low], np.int64)
         width = -(-width // BINS)
 
 
@@ -136,7 +141,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         for ids, matrix in _blocks(same, dim):
             block = spark.sparkContext.broadcast(Block(ids, matrix))
             bound = max(1, int(m) * int(block.value.largest) * dim)
-            low, above = _kth(rows, block, min(k, count), bound)
+            low = _kth(rows, block, min(k, count), bound)
             kept = _kept(rows, block, low, k)
             order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
             out.append(kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))

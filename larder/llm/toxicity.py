@@ -233,7 +233,8 @@ def train(docs: DataFrame, labels: DataFrame, trained_on: Column, *, positive: i
         model = fit([r[1] for r in rows], np.array([r[2] for r in rows], bool))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    return pickle.loads(texts.repartition(1).mapInArrow(run, "model binary").first()[0])
+    fitted = texts.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(fitted[0]) if fitted else fit([], np.zeros(0, bool))
 
 
 def predict(docs: DataFrame, model: Crf, *, doc_id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
