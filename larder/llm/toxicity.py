@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import Words, mix, slices
+from larder.llm.common import SLICE_BYTES, Words, mix, slices
 from larder.llm.langid import fold
 from larder.llm.sampling import per_class
 
@@ -122,7 +122,12 @@ class Crf:
         first = np.concatenate(([True], words.row[1:] != words.row[:-1]))
         alpha, beta, _ = self.messages(buckets(features(words)), first)
         p = self.marginal(alpha, beta)
-        return p, np.bincount(words.row, np.where(p >= NOISE, -np.log1p(-np.minimum(p, 1 - 1e-9)), 0.0), minlength=n)
+        return p, np.bincount(words.row, self.loss(p), minlength=n)
+
+    @staticmethod
+    def loss(p: np.ndarray) -> np.ndarray:
+        """Negative log-chance that a word is not toxic."""
+        return np.where(p >= NOISE, -np.log1p(-np.minimum(p, 1 - 1e-9)), 0.0)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         if self.prior is not None:
@@ -130,17 +135,50 @@ class Crf:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.log(evidence + 1e-6) + self.offset, -30, 30)))
 
 
-def word_labels(feats: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Labels of the words: 1 in toxic documents where the word or a prefix is a toxic feature.
+@dataclass
+class Part:
+    """Some documents of the training sample, word by word."""
+
+    feats: np.ndarray
+    first: np.ndarray
+    doc: np.ndarray  # number of the document in the sample
+    y: np.ndarray | None = None
+
+
+def parts_of(texts: list[str]) -> Iterator[Part]:
+    """The sample in parts of about a slice of text, so that no array spans all of it."""
+    size = np.cumsum([len(t.encode()) for t in texts])
+    for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(size // SLICE_BYTES)) + 1):
+        words = Words(pa.array([texts[i] for i in part], pa.string()), LETTERS)
+        if len(words.starts):
+            yield Part(features(words), np.concatenate(([True], words.row[1:] != words.row[:-1])), part[words.row])
+
+
+def toxic_features(parts: list[Part], toxic: np.ndarray) -> np.ndarray:
+    """Hashes of the words and prefixes that are toxic themselves.
 
     Features are chosen one by one, by the toxic documents that no feature chosen before explains:
     so what copies of one toxic document share by chance is not taken for toxic itself. Then those
     are added that stand in documents explained by several of the chosen ones.
     """
-    names, key = np.unique(feats, return_inverse=True)
-    key = key.reshape(feats.shape)
-    pairs = np.unique((key * len(toxic) + row).ravel())
-    bucket, doc = pairs // len(toxic), pairs % len(toxic)
+    pairs = []
+    for part in parts:
+        # each feature of a document once: sorted by document, then by hash
+        flat, doc = part.feats.ravel(), np.tile(part.doc, len(part.feats))
+        order = np.lexsort((flat, doc))
+        flat, doc = flat[order], doc[order]
+        once = np.concatenate(([True], (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])))
+        pairs.append((flat[once], doc[once].astype(np.int32)))
+    # only what is in some toxic document can be chosen
+    names = np.unique(np.concatenate([f[toxic[d]] for f, d in pairs]))
+    buckets_, docs_ = [], []
+    while pairs:
+        flat, doc = pairs.pop(0)
+        at = np.minimum(np.searchsorted(names, flat), len(names) - 1).astype(np.int32)
+        known = names[at] == flat
+        buckets_.append(at[known])
+        docs_.append(doc[known])
+    bucket, doc = np.concatenate(buckets_), np.concatenate(docs_)
     chance = (np.bincount(bucket[~toxic[doc]], minlength=len(names)) + 0.5) * (toxic.sum() / (~toxic).sum())
     mine = toxic[doc]
     bucket, doc = bucket[mine], doc[mine]
@@ -160,9 +198,9 @@ def word_labels(feats: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.nda
         by[doc[(bucket == best) & open_]] = chosen.sum()
         chosen[best] = True
     n = int(chosen.sum())
-    several = np.unique((bucket * n + by[doc])[by[doc] >= 0]) // max(n, 1)
+    several = np.unique((bucket.astype(np.int64) * n + by[doc])[by[doc] >= 0]) // max(n, 1)
     chosen |= marked & (np.bincount(several, minlength=len(names)) >= min(4, max(n, 1)))
-    return chosen[key].any(0) & toxic[row]
+    return names[chosen]
 
 
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5, decay: float = 1e-4) -> Crf:
@@ -173,39 +211,47 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5
         return model
     unlike = sorted({t: i for i, t in enumerate(texts)}.values())  # a copy tells nothing new
     texts, toxic = [texts[i] for i in unlike], toxic[unlike]
-    words = Words(pa.array(texts, pa.string()), LETTERS)
-    feats, first = features(words), np.concatenate(([True], words.row[1:] != words.row[:-1]))
-    y = word_labels(feats, words.row, toxic)
-    feats, n = buckets(feats), len(y)
-    if not y.any():
+    parts = list(parts_of(texts))
+    if not parts or toxic.all() or not toxic.any():
+        model.prior = float(toxic.mean())
+        return model
+    marks = toxic_features(parts, toxic)
+    for part in parts:
+        part.y = np.isin(part.feats, marks).any(0) & toxic[part.doc]
+        part.feats = buckets(part.feats)
+    n = sum(len(p.y) for p in parts)
+    if not any(p.y.any() for p in parts):
         model.prior = float(toxic.mean())
         return model
-    pair = np.bincount((2 * y[:-1] + y[1:])[~first[1:]], minlength=4).reshape(2, 2) + 1.0
+    pair = sum(np.bincount((2 * p.y[:-1] + p.y[1:])[~p.first[1:]], minlength=4) for p in parts).reshape(2, 2) + 1.0
     model.trans = np.log(pair / pair.sum(1, keepdims=True))
-    head = np.bincount(y[first].astype(int), minlength=2) + 1.0
+    head = sum(np.bincount(p.y[p.first].astype(int), minlength=2) for p in parts) + 1.0
     model.start = np.log(head / head.sum())
-    square, sb, st = np.full(BUCKETS, 1e-8), 1e-8, np.full((2, 2), 1e-8)
-    where = np.flatnonzero(~first)
-    # words without any label would outweigh the rest; a gradient is a sum, so steps are scaled by AdaGrad alone
+    square, sb, st = np.full(BUCKETS, 1e-8, np.float32), 1e-8, np.full((2, 2), 1e-8)
     for _ in range(rounds):
-        alpha, beta, m = model.messages(feats, first)
-        error = y - model.marginal(alpha, beta)
-        grad = np.zeros(BUCKETS)
-        for f in feats:
-            grad += np.bincount(f, error, minlength=BUCKETS)
+        grad, g, expected = np.zeros(BUCKETS), 0.0, np.zeros((2, 2))
+        for part in parts:
+            alpha, beta, m = model.messages(part.feats, part.first)
+            error = part.y - model.marginal(alpha, beta)
+            for f in part.feats:
+                grad += np.bincount(f, error, minlength=BUCKETS)
+            g += float(error.sum())
+            where = np.flatnonzero(~part.first)
+            joint = np.stack([alpha[i, where - 1] * m[2 * i + j, where] * beta[j, where] for i in (0, 1) for j in (0, 1)])
+            expected += (joint / joint.sum(0)).sum(1).reshape(2, 2)
         grad -= decay * n * model.weights / BUCKETS
-        square += grad**2
+        square += (grad**2).astype(np.float32)
         model.weights += (rate * grad / np.sqrt(square)).astype(np.float32)
-        g = float(error.sum())
         sb += g * g
         model.bias += rate * g / np.sqrt(sb)
-        joint = np.stack([alpha[i, where - 1] * m[2 * i + j, where] * beta[j, where] for i in (0, 1) for j in (0, 1)])
-        expected = (joint / joint.sum(0)).sum(1).reshape(2, 2)
         gt = pair - 1.0 - expected
         st += gt**2
         model.trans += 0.1 * rate * gt / np.sqrt(st)
-    x = np.log(model.evidence(words)[1] + 1e-6)
-    model.slope, model.offset = _logistic(x, toxic.astype(float))
+    evidence = np.zeros(len(toxic))
+    for part in parts:
+        alpha, beta, _ = model.messages(part.feats, part.first)
+        evidence += np.bincount(part.doc, model.loss(model.marginal(alpha, beta)), minlength=len(toxic))
+    model.slope, model.offset = _logistic(np.log(evidence + 1e-6), toxic.astype(float))
     return model
 
 
