@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -15,6 +16,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: Bytes of an Arrow batch between the JVM and Python: rows of long texts would else make batches of gigabytes.
+BATCH_BYTES = 4 << 20
 #: Text bytes that one vectorised step works on; a longer single text is taken alone.
 SLICE_BYTES = 2 << 20
 
@@ -73,6 +76,15 @@ def map_file(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
+def arrow(df: DataFrame, step: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with batches of bounded bytes. The bound is a setting of the session; a smaller one stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(re.sub(r"\D", "", conf.get(key)) or 0)
+    if not 0 < now <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(step, schema)
+
+
 def put(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there and any executor can go."""
     path = scratch(df.sparkSession, name)
@@ -104,16 +116,6 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - offsets[0]
 
 
-def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType, text: str) -> DataFrame:
-    """``mapInArrow`` over text slices."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
-            yield step(batch)
-
-    return df.mapInArrow(run, schema)
-
-
 class SpanHash:
     """64-bit hashes of spans of one byte array: polynomials, so a span costs the same however long it is."""
 

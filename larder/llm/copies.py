@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import mix, put, slices
+from larder.llm.common import arrow, mix, put, slices
 from larder.llm.graph import components
 from larder.llm.simhash import ball, fingerprint, segment, shingle_hashes, signed
 
@@ -70,7 +70,7 @@ def _narrow(docs: DataFrame, size: int, words: int) -> DataFrame:
                 fp.append(wide_fingerprint(shingle_hashes(t, size), words))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sha), pa.array(fp, pa.list_(pa.int64()))], ["doc_id", "sha", "fp"])
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return arrow(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
 def candidates(prints: DataFrame, width: int, segments: int, words: int, similarity: float, star: str = "") -> DataFrame:
@@ -115,7 +115,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) ->
                 keep.append(both >= similarity * (len(u) + len(v) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+    return arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "a long, b long").distinct()
 
 
 def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:

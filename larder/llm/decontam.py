@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import Words, gram_hash, slices
+from larder.llm.common import Words, arrow, gram_hash, slices
 
 #: Digits, lower-case letters and all bytes above ASCII.
 LETTERS = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
@@ -169,7 +169,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
         shared = spark.sparkContext.broadcast(index)
         # the digest tells documents apart when blocks are merged
         schema = T.StructType([T.StructField("doc_id", kind), T.StructField("text_sha", T.StringType()), *REPORT.fields])
-        reports.append(narrow.mapInArrow(lambda batches, shared=shared: _scan(batches, shared.value), schema))
+        reports.append(arrow(narrow, lambda batches, shared=shared: _scan(batches, shared.value), schema))
     if len(reports) == 1:
         return reports[0].drop("text_sha")
     merged = reports[0]
@@ -208,7 +208,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                 _, spans, _ = shared.value.report(batch.column(text))
                 yield batch.filter(pa.array([not x for x in spans], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = arrow(docs, clean, docs.schema)
     return docs
 
 

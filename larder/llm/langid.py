@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import mix, slices
+from larder.llm.common import arrow, mix, slices
 from larder.llm.sampling import per_class
 
 SAMPLE, BUCKETS, ORDERS = 1000, 1 << 16, (1, 2, 3)
@@ -111,7 +111,7 @@ def predict(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str
             langs, p = shared.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(p, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, schema)
 
 
 def keep_known(docs: DataFrame, model: Model, *, text: str = "text", least: float = 0.5) -> DataFrame:
@@ -123,7 +123,7 @@ def keep_known(docs: DataFrame, model: Model, *, text: str = "text", least: floa
             langs, p = shared.value.predict(batch.column(text).to_pylist())
             yield batch.filter(pa.array((np.array(langs, object) != UND) & (p >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return arrow(docs, run, docs.schema)
 
 
 def fold(column: str, folds: int) -> Column:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import put
+from larder.llm.common import arrow, put
 from larder.llm.tokens import encoded, vocabulary
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary, part long, slot int"
@@ -126,7 +126,7 @@ def pack(docs: DataFrame, tokenizer: str, *, length: int = 4096, open_windows: i
         yield rows.batch()
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    table = put(narrow.mapInArrow(partition, PIECE), "pieces")
+    table = put(arrow(narrow, partition, PIECE), "pieces")
     done = [table.where("sequence_id is not null")]
     parts = (table.agg(F.max("part")).first()[0] or 0) + 1
     left, level = table.where("sequence_id is null"), 0

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import mix, put, slices
+from larder.llm.common import arrow, mix, put, slices
 from larder.llm.graph import components
 
 
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             prints = [signed(fingerprint(shingle_hashes(t, size))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, schema)
 
 
 def mih_plan(bits: int, segments: int, radius: int) -> list[tuple[int, int, int]]:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import SpanHash, map_file, scratch, slices, store, text_bytes, whole_file
+from larder.llm.common import SpanHash, arrow, map_file, scratch, slices, store, text_bytes, whole_file
 
 NULL_ID = -(1 << 63)
 #: The word pattern (fixed value of the vocabulary file) that drops white space and never crosses it.
@@ -214,7 +214,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, *, end_id: int = 2,
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange(n, F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    sizes = sorted(tuple(r) for r in ordered.mapInArrow(write, "part int, docs long, tokens long").collect())  # a row per partition
+    sizes = sorted(tuple(r) for r in arrow(ordered, write, "part int, docs long, tokens long").collect())  # a row per partition
     bases = np.concatenate(([0], np.cumsum([t for _, _, t in sizes], dtype=np.int64)))
     manifest = {"dtype": dtype, "end_id": end_id, "parts": [{"part": p, "docs": d, "tokens": t, "base": int(b)} for (p, d, t), b in zip(sizes, bases) if d]}
     with whole_file(f"{out}/manifest.json", 0) as f:
@@ -254,7 +254,7 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                     )
 
-    return spark.range(0, parts, 1, max(parts, 1)).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return arrow(spark.range(0, parts, 1, max(parts, 1)), read, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def vocabulary(name: str) -> str:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from larder.llm.common import put
+from larder.llm.common import arrow, put
 
 #: Queries scored at once: with 64 components, 1 MB to broadcast.
 BLOCK = 2048
@@ -99,7 +99,7 @@ def _histograms(rows: DataFrame, block, low: np.ndarray, width: np.ndarray, k: i
         q, at = q[own], at[own]
         yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(at - 1, pa.int32()), pa.array(total[q, at], pa.int64())], ["query", "bin", "n"])
 
-    return rows.mapInArrow(count, "query long, bin int, n long").groupBy("query", "bin").agg(F.sum("n").alias("n"))
+    return arrow(rows, count, "query long, bin int, n long").groupBy("query", "bin").agg(F.sum("n").alias("n"))
 
 
 def _kth(rows: DataFrame, block, k: int, bound: int) -> np.ndarray:
@@ -181,7 +181,7 @@ def _kept(rows: DataFrame, block, low: np.ndarray, k: int) -> DataFrame:
         rest = _best(np.concatenate(held), k)
         yield pa.RecordBatch.from_arrays([pa.array(b.ids[rest[:, 0]], pa.int64()), pa.array(rest[:, 1], pa.int64()), pa.array(rest[:, 2], pa.int64())], ["query_id", "vec_id", "score"])
 
-    return rows.mapInArrow(best, "query_id long, vec_id long, score long")
+    return arrow(rows, best, "query_id long, vec_id long, score long")
 
 
 def _best(rows: np.ndarray, k: int) -> np.ndarray:

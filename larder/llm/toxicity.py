@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import SLICE_BYTES, Words, mix, slices
+from larder.llm.common import SLICE_BYTES, Words, arrow, mix, slices
 from larder.llm.langid import fold
 from larder.llm.sampling import per_class
 
@@ -279,7 +279,7 @@ def train(docs: DataFrame, labels: DataFrame, trained_on: Column, *, positive: i
         model = fit([r[1] for r in rows], np.array([r[2] for r in rows], bool))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    fitted = texts.repartition(1).mapInArrow(run, "model binary").first()
+    fitted = arrow(texts.repartition(1), run, "model binary").first()
     return pickle.loads(fitted[0]) if fitted else fit([], np.zeros(0, bool))
 
 
@@ -304,7 +304,7 @@ def predict(docs: DataFrame, model: Crf, *, doc_id: str = "doc_id", text: str =
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(shared.value.score(evidence), pa.float64()), pa.array(spans, kind)], ["doc_id", "score", "spans"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, schema)
 
 
 def keep_clean(docs: DataFrame, model: Crf, *, text: str = "text", least: float = 0.5) -> DataFrame:
@@ -316,7 +316,7 @@ def keep_clean(docs: DataFrame, model: Crf, *, text: str = "text", least: float
             score = shared.value.score(shared.value.evidence(Words(batch.column(text), LETTERS))[1])
             yield batch.filter(pa.array(score < least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return arrow(docs, run, docs.schema)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

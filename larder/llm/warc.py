@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import map_file, put, scratch, slices, whole_file
+from larder.llm.common import arrow, map_file, put, scratch, slices, whole_file
 
 RECORD = "page_id long, record_type string, payload_digest string, refers_to long, payload_bytes long, header binary, payload binary"
 _PAGE = "<urn:larder:page:%s>"
@@ -97,7 +97,7 @@ def write_archive(pages: DataFrame, out: str, *, least_bytes: int = 0, date: str
                     n += 1
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["file", "records"])
 
-    return sorted(name for name, n in joined.mapInArrow(write, "file string, records long").collect() if n)  # a row per file
+    return sorted(name for name, n in arrow(joined, write, "file string, records long").collect() if n)  # a row per file
 
 
 def read_archive(spark: SparkSession, files: list[str], *, contents: bool = True) -> DataFrame:
@@ -121,7 +121,7 @@ def read_archive(spark: SparkSession, files: list[str], *, contents: bool = True
                         rows, size = [], 0
                 yield _batch(rows)
 
-    return spark.range(0, len(files), 1, max(1, len(files))).mapInArrow(read, RECORD)
+    return arrow(spark.range(0, len(files), 1, max(1, len(files))), read, RECORD)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
