@@ -22,10 +22,11 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,8 @@ from larder.llm.simhash import ball, fingerprint, segment, shingle_hashes, signe
 
 #: Ids that are broadcast at most (about 8 bytes each); beyond it the join is left to a shuffle.
 BROADCAST_IDS = 1_000_000
+#: A segment value is crowded if it has over so many times the mean number of documents.
+CROWD = 3
 
 
 def bit_difference(similarity: float) -> float:
@@ -73,30 +76,53 @@ def _narrow(docs: DataFrame, size: int, words: int) -> DataFrame:
     return arrow(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
-def candidates(prints: DataFrame, width: int, segments: int, words: int, similarity: float, star: str = "") -> DataFrame:
-    """Distinct pairs (a < b) of ``prints(id, fp, group)`` that share a segment up to a bit, whose complete distance is small and whose groups differ.
+def most(bits: int, similarity: float) -> int:
+    """Differing bits of a pair at the threshold, but for a chance of about 0.1 %."""
+    p = bit_difference(similarity)
+    return math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
 
-    With ``star`` only the smallest ("min") or largest ("max") id of each segment value answers a
-    look-up, so there are no more pairs than look-ups.
-    """
-    each, p = 64 // width, bit_difference(similarity)
-    value = [F.lit(i << 32).bitwiseOR(segment(F.col("fp")[i // each], i % each * width, width)) for i in range(segments)]
+
+def values(width: int, segments: int) -> Column:
+    """The keys of a fingerprint: number and value of each segment in one long."""
+    each = 64 // width
+    return F.array(*(F.lit(i << 32).bitwiseOR(segment(F.col("fp")[i // each], i % each * width, width)) for i in range(segments)))
+
+
+def candidates(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> DataFrame:
+    """Distinct pairs (a < b) of ``prints(id, fp, group)`` that share a segment up to a bit, whose complete distance is small and whose groups differ."""
     masks = F.array(*map(F.lit, ball(width, 1)))
-    table = prints.select(F.explode(F.array(*value)).alias("key"), F.struct(F.col("id").alias("b"), F.col("fp")[0].alias("fb"), F.col("group").alias("gb")).alias("t"))
-    if star:
-        table = table.groupBy("key").agg(getattr(F, star)("t").alias("t"))
-    table = table.select("key", "t.*")
-    query = prints.select(F.explode(F.array(*value)).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa", "ga")
-
-    def most(bits: int) -> int:
-        return math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
-
-    near = (F.col("ga") != F.col("gb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= most(64))
-    near = near if star else near & (F.col("a") < F.col("b"))
-    pairs = query.join(table, (query["key"] == table["key"]) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    table = prints.select(F.explode(values(width, segments)).alias("key"), F.col("id").alias("b"), F.col("fp")[0].alias("fb"), F.col("group").alias("gb"))
+    query = prints.select(F.explode(values(width, segments)).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa", "ga")
+    near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= most(64, similarity))
+    return _close(query.join(table, (query["key"] == table["key"]) & near).select("a", "b").distinct(), prints, words, similarity)
+
+
+def _close(pairs: DataFrame, prints: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs whose complete distance is small."""
     left, right = prints.select(F.col("id").alias("a"), F.col("fp").alias("fa")), prints.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
     apart = sum((F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(words)), F.lit(0))
-    return pairs.join(left, "a").join(right, "b").where(apart <= most(64 * words)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(apart <= most(64 * words, similarity)).select("a", "b")
+
+
+def stars(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> DataFrame:
+    """Pairs of the documents of each crowded segment value with the one in their middle, where groups differ.
+
+    Crowded: more than ``CROWD`` times the mean. The middle is the document nearest to the bitwise
+    majority of the fingerprints, so of a text and its altered copies about the least altered one.
+    """
+    rows = prints.select(F.explode(values(width, segments)).alias("key"), "id", F.col("fp")[0].alias("f"), "group")
+    least = CROWD * max(1.0, prints.count() / (1 << width))
+    crowds = put(rows.groupBy("key").count().where(F.col("count") > least).select("key"), "crowds")
+    rows = put(rows.join(crowds, "key"), "rows")
+    ones = [F.sum(F.shiftright("f", i).bitwiseAND(F.lit(1))).alias(f"n{i}") for i in range(64)]
+    major = [F.when(2 * F.col(f"n{i}") > F.col("n"), F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")) for i in range(64)]
+    middle = put(rows.groupBy("key").agg(F.count("*").alias("n"), *ones).select("key", reduce(Column.bitwiseOR, major).alias("m")), "middle")
+    off = F.bit_count(F.col("f").bitwiseXOR(F.col("m")))
+    hubs = rows.join(middle, "key").groupBy("key").agg(F.min(F.struct(off, F.col("id"), F.col("f").alias("fh"), F.col("group").alias("gh"))).alias("hub"))
+    hubs = put(hubs.select("key", F.col("hub.id").alias("h"), "hub.fh", "hub.gh"), "hubs")
+    near = (F.col("group") != F.col("gh")) & (F.bit_count(F.col("f").bitwiseXOR(F.col("fh"))) <= most(64, similarity))
+    pairs = rows.join(hubs, "key").where(near).select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
+    return _close(pairs, prints, words, similarity)
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -144,8 +170,7 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
         return prints.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "fp", F.coalesce("component", "id").alias("group"))
 
     # stars first: they join most of a large group, whose pairs then needn't be listed
-    for star in ("min", "max"):
-        grow(put(candidates(grouped(), width, segments, words, similarity, star), "stars"))
+    grow(put(stars(grouped(), width, segments, words, similarity), "stars"))
     open_, tries = put(candidates(grouped(), width, segments, words, similarity), "pairs"), 1
     while not open_.isEmpty():
         rank = F.row_number().over(W.partitionBy("b").orderBy("a"))
