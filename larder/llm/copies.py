@@ -7,10 +7,12 @@ number of documents asks for, so that look-ups stay short, and as many as it tak
 at the threshold with a chance of at most ``miss``. Matches whose complete distance is too large are dropped and
 the rest is verified on the shingle sets themselves.
 
-Verification goes in rounds. Two linear ones try only the smallest and the largest id of each segment
-value; then all pairs of different components are listed and every document tries its smallest open partners, one at first and
-sixteen times as many in each later round; verified pairs are joined to components, and pairs within
-a component need no check. So a group of n copies costs about n checks, not n squared.
+Verification goes in rounds. A linear one tries each document of a crowded segment value with the
+one in the middle of it; then the look-ups list the pairs of different components, once, and every
+document tries its smallest open partners, one at first and sixteen times as many in each later
+round; verified pairs are joined to components, and pairs within a component need no check. So a
+group of n copies costs about n checks; only texts that look alike but aren't similar enough are
+tried in pairs.
 
 Defined results: exact copies (equal words after ASCII lower-casing, null and empty texts among
 them) are a group; rows with a null doc_id are kept; repeated rows of an id and text leave one;
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -31,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import arrow, mix, put, slices
+from larder.llm.common import arrow, mix, put, release, slices
 from larder.llm.graph import components
 from larder.llm.simhash import ball, fingerprint, segment, shingle_hashes, signed
 
@@ -39,6 +41,8 @@ from larder.llm.simhash import ball, fingerprint, segment, shingle_hashes, signe
 BROADCAST_IDS = 1_000_000
 #: A segment value is crowded if it has over so many times the mean number of documents.
 CROWD = 3
+#: Segments that are looked up in one job.
+AT_ONCE = 4
 
 
 def bit_difference(similarity: float) -> float:
@@ -82,19 +86,28 @@ def most(bits: int, similarity: float) -> int:
     return math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
 
 
-def values(width: int, segments: int) -> Column:
-    """The keys of a fingerprint: number and value of each segment in one long."""
+def values(width: int, chosen: Iterable[int]) -> Column:
+    """The keys of a fingerprint: number and value of each chosen segment in one long."""
     each = 64 // width
-    return F.array(*(F.lit(i << 32).bitwiseOR(segment(F.col("fp")[i // each], i % each * width, width)) for i in range(segments)))
+    return F.array(*(F.lit(i << 32).bitwiseOR(segment(F.col("fp")[i // each], i % each * width, width)) for i in chosen))
 
 
 def candidates(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a < b) of ``prints(id, fp, group)`` that share a segment up to a bit, whose complete distance is small and whose groups differ."""
-    masks = F.array(*map(F.lit, ball(width, 1)))
-    table = prints.select(F.explode(values(width, segments)).alias("key"), F.col("id").alias("b"), F.col("fp")[0].alias("fb"), F.col("group").alias("gb"))
-    query = prints.select(F.explode(values(width, segments)).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa", "ga")
+    """Distinct pairs (a < b) of ``prints(id, fp, group)`` that share a segment up to a bit, whose complete distance is small and whose groups differ.
+
+    A few segments are looked up at a time: shuffle files of earlier ones can go before the next.
+    """
+    masks, found = F.array(*map(F.lit, ball(width, 1))), []
     near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= most(64, similarity))
-    return _close(query.join(table, (query["key"] == table["key"]) & near).select("a", "b").distinct(), prints, words, similarity)
+    for first in range(0, segments, AT_ONCE):
+        keys = values(width, range(first, min(segments, first + AT_ONCE)))
+        table = prints.select(F.explode(keys).alias("key"), F.col("id").alias("b"), F.col("fp")[0].alias("fb"), F.col("group").alias("gb"))
+        query = prints.select(F.explode(keys).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa", "ga")
+        pairs = query.join(table, (query["key"] == table["key"]) & near).select("a", "b").distinct()
+        found.append(put(_close(pairs, prints, words, similarity), "near"))
+        del table, query, pairs
+        release(prints.sparkSession)
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def _close(pairs: DataFrame, prints: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -110,7 +123,7 @@ def stars(prints: DataFrame, width: int, segments: int, words: int, similarity:
     Crowded: more than ``CROWD`` times the mean. The middle is the document nearest to the bitwise
     majority of the fingerprints, so of a text and its altered copies about the least altered one.
     """
-    rows = prints.select(F.explode(values(width, segments)).alias("key"), "id", F.col("fp")[0].alias("f"), "group")
+    rows = prints.select(F.explode(values(width, range(segments))).alias("key"), "id", F.col("fp")[0].alias("f"), "group")
     least = CROWD * max(1.0, prints.count() / (1 << width))
     crowds = put(rows.groupBy("key").count().where(F.col("count") > least).select("key"), "crowds")
     rows = put(rows.join(crowds, "key"), "rows")
@@ -165,13 +178,14 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
         good = _similar(pairs, docs, size, similarity)
         links = put(links.unionByName(good.select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
         found = put(components(links), "groups")
+        release(docs.sparkSession)
 
     def grouped() -> DataFrame:
         return prints.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "fp", F.coalesce("component", "id").alias("group"))
 
     # stars first: they join most of a large group, whose pairs then needn't be listed
     grow(put(stars(grouped(), width, segments, words, similarity), "stars"))
-    open_, tries = put(candidates(grouped(), width, segments, words, similarity), "pairs"), 1
+    open_, tries = put(candidates(put(grouped(), "grouped"), width, segments, words, similarity), "pairs"), 1
     while not open_.isEmpty():
         rank = F.row_number().over(W.partitionBy("b").orderBy("a"))
         tried = put(open_.withColumn("n", rank).where(F.col("n") <= tries).select("a", "b"), "tried")
