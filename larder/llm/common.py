@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import re
 import tempfile
@@ -83,7 +84,19 @@ def arrow(df: DataFrame, step: Callable, schema) -> DataFrame:
     now = int(re.sub(r"\D", "", conf.get(key)) or 0)
     if not 0 < now <= BATCH_BYTES:
         conf.set(key, str(BATCH_BYTES))
-    return df.mapInArrow(step, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        trim()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def trim() -> None:
+    """Give freed memory back to the system: a Python worker lives on between tasks, beside its executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def put(df: DataFrame, name: str) -> DataFrame:
