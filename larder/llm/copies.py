@@ -1,11 +1,14 @@
 """One document of each group of near copies: SimHash by multi-index hashing for word-shingle similarity.
 
 Two documents whose sets of five-word shingles have a Jaccard similarity of ``similarity`` differ in
-each fingerprint bit with a known chance. The fingerprint is cut into segments; a Hamming ball of
-one bit round each segment value is enumerated and looked up. The segments are as wide as the
-number of documents asks for, so that look-ups stay short, and as many as it takes to miss a pair
-at the threshold with a chance of at most ``miss``. Matches whose complete distance is too large are dropped and
-the rest is verified on the shingle sets themselves.
+each fingerprint bit with a chance that depends on the sizes of the sets; it is computed exactly and
+the worst one is planned for. The fingerprint is cut into segments; a Hamming ball of one bit round
+each segment value is enumerated and looked up. The segments are as wide as the number of documents
+asks for, so that look-ups stay short, and as many as it takes to miss a pair at the threshold with a
+chance of at most ``miss``; documents of few shingles, whose bits differ more often, have more
+segments. Matches whose distance is too large are dropped, with a chance of at most ``CUT`` to drop a
+pair at the threshold in each of the two cuts, however many bits there are; the rest is verified on
+the shingle sets themselves.
 
 Verification goes in rounds. A linear one tries each document of a crowded segment value with the
 one in the middle of it; then the look-ups list the pairs of different components, once, and every
@@ -24,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,20 +46,55 @@ BROADCAST_IDS = 1_000_000
 CROWD = 3
 #: Segments that are looked up in one job.
 AT_ONCE = 4
+#: Pairs whose smaller set has at most so many shingles are planned and cut by themselves.
+SHORT = 13
+#: Set sizes up to which the chance of a differing bit is counted out; beyond, it is the angle's but for what sizes just below add.
+COUNTED = 64
+#: Chance of a cut by distance to drop a pair at the threshold.
+CUT = 1e-4
+#: Words that are compared at least, and those of them that look-ups carry.
+WORDS, CARRIED = 4, 2
 
 
-def bit_difference(similarity: float) -> float:
-    """Chance that a fingerprint bit differs: the angle between two sets of one size, over pi."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+def _halves(n: int) -> np.ndarray:
+    """Chances of 0 to n bits of n that are set."""
+    return np.array([math.comb(n, i) / 2**n for i in range(n + 1)])
 
 
-def plan(documents: int, similarity: float, miss: float) -> tuple[int, int, int]:
-    """(segment width, segments, 64-bit words) for so many documents."""
+def differing(left: int, right: int, both: int) -> float:
+    """Exact chance that a fingerprint bit of two sets of so many shingles, ``both`` of them in common, differs."""
+
+    def set_(n: int) -> np.ndarray:
+        # chance that the bit is set, by the number of common shingles that have it
+        over = np.append(np.cumsum(_halves(n - both)[::-1])[::-1], 0)
+        return over[np.clip(n // 2 + 1 - np.arange(both + 1), 0, n - both + 1)]
+
+    a, b = set_(left), set_(right)
+    return float(_halves(both) @ (a * (1 - b) + b * (1 - a)))
+
+
+@cache
+def bit_difference(similarity: float, least: int = 1) -> float:
+    """The largest chance that a fingerprint bit differs, of pairs at the threshold whose sets have at least ``least`` shingles.
+
+    Large sets: the angle between two sets of one size, over pi.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    for u in range(least, COUNTED + 1):
+        for v in range(u, math.floor(u / similarity + 1e-9) + 1):
+            # odd and even sizes differ, so the smallest intersection isn't always the worst
+            both = math.ceil(similarity * (u + v) / (1 + similarity) - 1e-9)
+            p = max([p, *(differing(u, v, m) for m in range(both, min(u, both + 2) + 1))])
+    return p
+
+
+def plan(documents: int, similarity: float, miss: float, least: int = 1) -> tuple[int, int, int]:
+    """(segment width, segments, 64-bit words) for so many documents, for pairs whose sets have at least ``least`` shingles."""
     width = min(30, max(10, math.ceil(math.log2(max(2, documents))) - 5))
-    p = bit_difference(similarity)
+    p = bit_difference(similarity, least)
     found = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
     segments = math.ceil(math.log(miss) / math.log(1 - found))
-    return width, segments, math.ceil(segments / (64 // width))
+    return width, segments, max(WORDS, math.ceil(segments / (64 // width)))
 
 
 def wide_fingerprint(hashes: np.ndarray, words: int) -> list[int]:
@@ -65,25 +103,43 @@ def wide_fingerprint(hashes: np.ndarray, words: int) -> list[int]:
     return [signed(fingerprint(mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64)))) for i in range(words)]
 
 
-def _narrow(docs: DataFrame, size: int, words: int) -> DataFrame:
-    """(doc_id, sha, fp): a digest of the words and the fingerprint."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("fp", T.ArrayType(T.LongType()))])
+def _narrow(docs: DataFrame, size: int, words: int, most_: int, shared: int) -> DataFrame:
+    """(doc_id, sha, n, fp): a digest of the words, the number of distinct shingles and the fingerprint, of ``words`` words up to ``most_`` shingles, else of ``shared``."""
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("fp", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sha, fp = [], []
+            sha, n, fp = [], [], []
             for t in batch.column("text").to_pylist():
                 sha.append(hashlib.sha256(b" ".join((t or "").encode().lower().split())).hexdigest()[:32])
-                fp.append(wide_fingerprint(shingle_hashes(t, size), words))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sha), pa.array(fp, pa.list_(pa.int64()))], ["doc_id", "sha", "fp"])
+                hashes = np.unique(shingle_hashes(t, size))
+                n.append(len(hashes))
+                fp.append(wide_fingerprint(hashes, words if len(hashes) <= most_ else shared))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sha), pa.array(n, pa.int32()), pa.array(fp, pa.list_(pa.int64()))], ["doc_id", "sha", "n", "fp"])
 
     return arrow(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
-def most(bits: int, similarity: float) -> int:
-    """Differing bits of a pair at the threshold, but for a chance of about 0.1 %."""
-    p = bit_difference(similarity)
-    return math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
+@cache
+def most(bits: int, p: float) -> int:
+    """The least distance that a pair whose bits differ with chance ``p`` exceeds with a chance of at most ``CUT``."""
+    left = 1.0
+    for k in range(bits + 1):
+        left -= math.exp(math.lgamma(bits + 1) - math.lgamma(k + 1) - math.lgamma(bits - k + 1) + k * math.log(p) + (bits - k) * math.log1p(-p))
+        if left <= CUT:
+            return k
+    return bits
+
+
+def near(apart: Column, n: Column, bits: int, similarity: float) -> Column:
+    """Whether a distance of so many bits is small enough for a pair whose smaller set has ``n`` shingles."""
+    short, long_ = (most(bits, bit_difference(similarity, least)) for least in (1, SHORT + 1))
+    return apart <= F.when(n <= SHORT, short).otherwise(long_)
+
+
+def distance(left: str, right: str, words: int) -> Column:
+    """Differing bits of the first words of two fingerprints."""
+    return reduce(Column.__add__, (F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(words)))
 
 
 def values(width: int, chosen: Iterable[int]) -> Column:
@@ -92,18 +148,21 @@ def values(width: int, chosen: Iterable[int]) -> Column:
     return F.array(*(F.lit(i << 32).bitwiseOR(segment(F.col("fp")[i // each], i % each * width, width)) for i in chosen))
 
 
-def candidates(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a < b) of ``prints(id, fp, group)`` that share a segment up to a bit, whose complete distance is small and whose groups differ.
+def candidates(prints: DataFrame, width: int, segments: int, shared: int, longest: int, words: int, similarity: float) -> DataFrame:
+    """Distinct pairs (a < b) of ``prints(id, n, fp, group)`` that share a segment up to a bit, whose distance is small and whose groups differ.
 
-    A few segments are looked up at a time: shuffle files of earlier ones can go before the next.
+    Segments from ``shared`` on are those of documents of at most ``longest`` shingles. A few segments are
+    looked up at a time: shuffle files of earlier ones can go before the next.
     """
     masks, found = F.array(*map(F.lit, ball(width, 1))), []
-    near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= most(64, similarity))
-    for first in range(0, segments, AT_ONCE):
-        keys = values(width, range(first, min(segments, first + AT_ONCE)))
-        table = prints.select(F.explode(keys).alias("key"), F.col("id").alias("b"), F.col("fp")[0].alias("fb"), F.col("group").alias("gb"))
-        query = prints.select(F.explode(keys).alias("home"), F.col("id").alias("a"), F.col("fp")[0].alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "fa", "ga")
-        pairs = query.join(table, (query["key"] == table["key"]) & near).select("a", "b").distinct()
+    close = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & near(distance("fa", "fb", CARRIED), F.least("na", "nb"), 64 * CARRIED, similarity)
+    chosen = [(prints, range(i, min(shared, i + AT_ONCE))) for i in range(0, shared, AT_ONCE)]
+    chosen += [(prints.where(F.col("n") <= longest), range(i, min(segments, i + AT_ONCE))) for i in range(shared, segments, AT_ONCE)]
+    for part, some in chosen:
+        keys, few = values(width, some), F.slice("fp", 1, CARRIED)
+        table = part.select(F.explode(keys).alias("key"), F.col("id").alias("b"), F.col("n").alias("nb"), few.alias("fb"), F.col("group").alias("gb"))
+        query = part.select(F.explode(keys).alias("home"), F.col("id").alias("a"), F.col("n").alias("na"), few.alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "na", "fa", "ga")
+        pairs = query.join(table, (query["key"] == table["key"]) & close).select("a", "b").distinct()
         found.append(put(_close(pairs, prints, words, similarity), "near"))
         del table, query, pairs
         release(prints.sparkSession)
@@ -111,10 +170,9 @@ def candidates(prints: DataFrame, width: int, segments: int, words: int, similar
 
 
 def _close(pairs: DataFrame, prints: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs whose complete distance is small."""
-    left, right = prints.select(F.col("id").alias("a"), F.col("fp").alias("fa")), prints.select(F.col("id").alias("b"), F.col("fp").alias("fb"))
-    apart = sum((F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(words)), F.lit(0))
-    return pairs.join(left, "a").join(right, "b").where(apart <= most(64 * words, similarity)).select("a", "b")
+    """The pairs whose distance over ``words`` words is small."""
+    left, right = (prints.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.slice("fp", 1, words).alias(f"f{x}")) for x in "ab")
+    return pairs.join(left, "a").join(right, "b").where(near(distance("fa", "fb", words), F.least("na", "nb"), 64 * words, similarity)).select("a", "b")
 
 
 def stars(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> DataFrame:
@@ -123,7 +181,7 @@ def stars(prints: DataFrame, width: int, segments: int, words: int, similarity:
     Crowded: more than ``CROWD`` times the mean. The middle is the document nearest to the bitwise
     majority of the fingerprints, so of a text and its altered copies about the least altered one.
     """
-    rows = prints.select(F.explode(values(width, range(segments))).alias("key"), "id", F.col("fp")[0].alias("f"), "group")
+    rows = prints.select(F.explode(values(width, range(segments))).alias("key"), "id", "n", F.col("fp")[0].alias("f"), "group")
     least = CROWD * max(1.0, prints.count() / (1 << width))
     crowds = put(rows.groupBy("key").count().where(F.col("count") > least).select("key"), "crowds")
     rows = put(rows.join(crowds, "key"), "rows")
@@ -131,10 +189,10 @@ def stars(prints: DataFrame, width: int, segments: int, words: int, similarity:
     major = [F.when(2 * F.col(f"n{i}") > F.col("n"), F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")) for i in range(64)]
     middle = put(rows.groupBy("key").agg(F.count("*").alias("n"), *ones).select("key", reduce(Column.bitwiseOR, major).alias("m")), "middle")
     off = F.bit_count(F.col("f").bitwiseXOR(F.col("m")))
-    hubs = rows.join(middle, "key").groupBy("key").agg(F.min(F.struct(off, F.col("id"), F.col("f").alias("fh"), F.col("group").alias("gh"))).alias("hub"))
-    hubs = put(hubs.select("key", F.col("hub.id").alias("h"), "hub.fh", "hub.gh"), "hubs")
-    near = (F.col("group") != F.col("gh")) & (F.bit_count(F.col("f").bitwiseXOR(F.col("fh"))) <= most(64, similarity))
-    pairs = rows.join(hubs, "key").where(near).select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
+    hubs = rows.join(middle, "key").groupBy("key").agg(F.min(F.struct(off, F.col("id"), F.col("f").alias("fh"), F.col("n").alias("nh"), F.col("group").alias("gh"))).alias("hub"))
+    hubs = put(hubs.select("key", F.col("hub.id").alias("h"), "hub.fh", "hub.nh", "hub.gh"), "hubs")
+    close = (F.col("group") != F.col("gh")) & near(F.bit_count(F.col("f").bitwiseXOR(F.col("fh"))), F.least("n", "nh"), 64, similarity)
+    pairs = rows.join(hubs, "key").where(close).select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
     return _close(pairs, prints, words, similarity)
 
 
@@ -165,10 +223,13 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: float = 0.003) -> DataFrame:
     """(doc_id, group): the smallest id of each document's group, for documents with a non-null id."""
-    width, segments, words = plan(docs.count(), similarity, miss)
-    narrow = put(_narrow(docs, size, words), "narrow")
-    reps = put(narrow.groupBy("sha").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp")), "reps")
-    prints = put(reps.groupBy("id").agg(F.first("fp").alias("fp")), "prints")
+    many = docs.count()
+    width, segments, words = plan(many, similarity, miss)
+    _, shared, compared = plan(many, similarity, miss, SHORT + 1)
+    longest = math.floor(SHORT / similarity + 1e-9)  # of the partners of short documents
+    narrow = put(_narrow(docs, size, words, longest, compared), "narrow")
+    reps = put(narrow.groupBy("sha").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("fp").alias("fp")), "reps")
+    prints = put(reps.groupBy("id").agg(F.first(F.struct("n", "fp")).alias("p")).select("id", "p.*"), "prints")
     # rows of one sha are linked through their representative, whatever ids they have
     links = put(narrow.join(reps.select("sha", "id"), "sha").where("doc_id <> id").select(F.col("id").alias("u"), F.col("doc_id").alias("v")).distinct(), "copies")
     found = put(components(links), "groups")
@@ -181,11 +242,11 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
         release(docs.sparkSession)
 
     def grouped() -> DataFrame:
-        return prints.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "fp", F.coalesce("component", "id").alias("group"))
+        return prints.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "fp", F.coalesce("component", "id").alias("group"))
 
     # stars first: they join most of a large group, whose pairs then needn't be listed
-    grow(put(stars(grouped(), width, segments, words, similarity), "stars"))
-    open_, tries = put(candidates(put(grouped(), "grouped"), width, segments, words, similarity), "pairs"), 1
+    grow(put(stars(grouped(), width, shared, compared, similarity), "stars"))
+    open_, tries = put(candidates(put(grouped(), "grouped"), width, segments, shared, longest, compared, similarity), "pairs"), 1
     while not open_.isEmpty():
         rank = F.row_number().over(W.partitionBy("b").orderBy("a"))
         tried = put(open_.withColumn("n", rank).where(F.col("n") <= tries).select("a", "b"), "tried")
