@@ -19,7 +19,7 @@ tried in pairs.
 
 Defined results: exact copies (equal words after ASCII lower-casing, null and empty texts among
 them) are a group; rows with a null doc_id are kept; repeated rows of an id and text leave one;
-rows of one id with different texts are kept or dropped together.
+rows of one id with different texts are linked by each of them and kept or dropped together.
 """
 
 from __future__ import annotations
@@ -229,7 +229,8 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
     longest = math.floor(SHORT / similarity + 1e-9)  # of the partners of short documents
     narrow = put(_narrow(docs, size, words, longest, compared), "narrow")
     reps = put(narrow.groupBy("sha").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("fp").alias("fp")), "reps")
-    prints = put(reps.groupBy("id").agg(F.first(F.struct("n", "fp")).alias("p")).select("id", "p.*"), "prints")
+    # an id has a row for each of its texts: any of them may link it
+    prints = put(reps.select("id", "n", "fp"), "prints")
     # rows of one sha are linked through their representative, whatever ids they have
     links = put(narrow.join(reps.select("sha", "id"), "sha").where("doc_id <> id").select(F.col("id").alias("u"), F.col("doc_id").alias("v")).distinct(), "copies")
     found = put(components(links), "groups")

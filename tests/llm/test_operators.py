@@ -466,3 +466,10 @@ def test_near_copies_of_few_words(spark):
     rows = [(2 * i + j, prose(9, i) if j else " ".join(prose(9, i).split()[:8])) for i in range(400) for j in range(2)]
     kept = {r["doc_id"] for r in copies.keep_one(docs(spark, rows)).collect()}
     assert brute_kept(rows) <= kept and len(kept - brute_kept(rows)) <= 5
+
+
+def test_near_copies_of_every_text_of_an_id(spark):
+    # two texts share an id: a near copy of either goes
+    one, two = prose(60, 1), prose(60, 2)
+    rows = [(1, one), (1, two), (5, one.rsplit(" ", 1)[0] + " end"), (6, two.rsplit(" ", 1)[0] + " end")]
+    assert {r["doc_id"] for r in copies.keep_one(docs(spark, rows)).collect()} == {1}
