@@ -43,16 +43,30 @@ SENTENCES: dict[str, list[str]] = {
     "u": ["Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"],
     "v": ["3"],
     "w": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
+    # pieces of f, r and b on both sides of the blank lines that the published texts have
+    "y": ['Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions'],
+    "z": ["The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"],
+    "A": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+    "B": ["1"],
+    "C": ["You may obtain a copy of the License at"],
+    "D": ["http://www.apache.org/licenses/LICENSE-2.0", "https://www.apache.org/licenses/LICENSE-2.0"],
     "x": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v"],
 }
 # A licence and the identifiers that follow one another in it; earlier rules go first.
 RULES: list[tuple[str, str]] = [
     ("Apache-2.0", "abcd"),
+    ("Apache-2.0", "aCDcd"),
     ("Apache-2.0", "acd"),
     ("BSD-3-Clause", "rstuvw"),
+    ("BSD-3-Clause", "ABstuvw"),
+    ("BSD-3-Clause", "Asuw"),
     ("BSD-2-Clause", "rstu"),
+    ("BSD-2-Clause", "ABstu"),
+    ("BSD-2-Clause", "Asu"),
     ("MIT", "fgh"),
     ("MIT", "fg"),
+    ("MIT", "yzgh"),
+    ("MIT", "yzg"),
     ("GPL-3.0-or-later", "jkl"),
     ("GPL-2.0-or-later", "mkl"),
     ("Apache-2.0", "a"),
@@ -66,8 +80,8 @@ RULES: list[tuple[str, str]] = [
     ("MPL-2.0", "x"),
     ("ALL-RIGHTS-RESERVED", "q"),
 ]
-#: A bare list number is part of a rule at most, never a finding by itself.
-SILENT = "tv"
+#: A bare list number or address is part of a rule at most, never a finding by itself.
+SILENT = "tvBD"
 GAP = "."
 _END = r"[.!?][)\"']*[ \t\r\n]+|[ \t\r]*\n[ \t\r]*\n\s*"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
