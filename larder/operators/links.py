@@ -10,7 +10,10 @@ from larder import constants as C
 from larder.functions import text as T
 from larder.functions import url as U
 
-_ANCHOR = r"(?is)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+# the start tag attribute by attribute, without going back; an anchor without an end tag ends where the next one starts
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)"
+_ATTRIBUTE = rf"[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+"
+_ANCHOR = rf"(?is)<a(?=[\s/])(?:[\s/]*+(?!href[\s=/>]){_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+({_VALUE})(?:[\s/]*+{_ATTRIBUTE})*+[^>]*+>(.*?)(?:</a\s*>|(?=<a[\s/>])|\z)"
 
 
 def explode_links(pages: DataFrame) -> DataFrame:
@@ -18,7 +21,7 @@ def explode_links(pages: DataFrame) -> DataFrame:
     hrefs, texts = F.regexp_extract_all("html", F.lit(_ANCHOR), 1), F.regexp_extract_all("html", F.lit(_ANCHOR), 2)
     both = F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text")))
     rows = pages.select("page_id", "url", both.alias("pos", "a"))
-    return rows.select("page_id", "url", "pos", F.col("a.href").alias("href"), T.clean_text(F.regexp_replace("a.text", "<[^>]+>", "")).alias("anchor_text"))
+    return rows.select("page_id", "url", "pos", F.regexp_replace("a.href", r"(?s)^([\"'])(.*)\1$", "$2").alias("href"), T.clean_text(F.regexp_replace("a.text", "<[^>]+>", "")).alias("anchor_text"))
 
 
 def candidates(links: DataFrame) -> DataFrame:

@@ -182,3 +182,9 @@ def test_stream_equals_batch(spark, tmp_path):
     counted = ingest.admitted_per_domain(ingest.url_stream(spark, urls)).writeStream.outputMode("complete").format("memory").queryName("counted").trigger(availableNow=True).start()
     counted.awaitTermination(120)
     assert [tuple(r) for r in spark.table("counted").collect()] == [("a.dk", 5)]
+
+
+def test_anchor_forms(spark):
+    html = """<a href="/a">A</a><a class='x' href='/b"q'>B</a><A HREF = /c/d>C</A><a disabled href=/e title="x > y">E</a ><a data-href="/no">no</a><a title="href=/no" href="/f">F <b>f</b></a><abbr href="/no">no</abbr><a href="/g">G<a href="/h">H"""
+    rows = L.explode_links(spark.createDataFrame([(1, "https://s.dk/", html)], "page_id long, url string, html string")).orderBy("pos").collect()
+    assert [(r["href"], r["anchor_text"]) for r in rows] == [("/a", "A"), ('/b"q', "B"), ("/c/d", "C"), ("/e", "E"), ("/f", "F f"), ("/g", "G"), ("/h", "H")]
