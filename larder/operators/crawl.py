@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,20 +13,22 @@ from larder.functions import url as U
 from larder.operators import links as L
 
 
-def crawl(fetches: DataFrame, roots: DataFrame, trusted: DataFrame, work: str, limits: C.Limits = C.DEFAULT, rounds: int = 20) -> DataFrame:
+def crawl(fetches: DataFrame, roots: DataFrame, trusted: DataFrame, work: str, limits: C.Limits = C.DEFAULT) -> DataFrame:
     """Visited URLs ``(canonical_url, depth)`` starting from ``roots(url)``.
 
     ``fetches(page_id, url, html)`` stands for the network. Each round's frontier is written below
-    ``work`` (a folder that all executors share), so a lost executor costs at most one round.
+    ``work`` (a folder that all executors share), so a lost executor costs at most one round. It ends
+    when a frontier is empty: no URL is visited twice.
     """
     spark = fetches.sparkSession
     pages = fetches.withColumn("canonical_url", U.canonicalize(F.col("url")))
     frontier = roots.select(U.canonicalize(F.col("url")).alias("canonical_url")).where("canonical_url is not null").distinct().withColumn("depth", F.lit(0)).withColumn("hops", F.lit(0))
-    run, visited = f"{work}/crawl-{uuid.uuid4().hex}", None
-    for depth in range(rounds):
+    run, schema = f"{work}/crawl-{uuid.uuid4().hex}", frontier.schema
+    for depth in count():
         frontier.write.parquet(f"{run}/round={depth}")
-        frontier = spark.read.parquet(f"{run}/round={depth}")
-        visited = frontier if visited is None else visited.unionByName(frontier)
+        frontier = spark.read.schema(schema).parquet(f"{run}/round={depth}")
+        # one scan of all rounds: the plan doesn't grow with them
+        visited = spark.read.schema(schema).parquet(f"{run}/round=*")
         if frontier.isEmpty():
             break
         links = _links(pages, frontier)

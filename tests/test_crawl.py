@@ -188,3 +188,11 @@ def test_anchor_forms(spark):
     html = """<a href="/a">A</a><a class='x' href='/b"q'>B</a><A HREF = /c/d>C</A><a disabled href=/e title="x > y">E</a ><a data-href="/no">no</a><a title="href=/no" href="/f">F <b>f</b></a><abbr href="/no">no</abbr><a href="/g">G<a href="/h">H"""
     rows = L.explode_links(spark.createDataFrame([(1, "https://s.dk/", html)], "page_id long, url string, html string")).orderBy("pos").collect()
     assert [(r["href"], r["anchor_text"]) for r in rows] == [("/a", "A"), ('/b"q', "B"), ("/c/d", "C"), ("/e", "E"), ("/f", "F f"), ("/g", "G"), ("/h", "H")]
+
+
+def test_crawl_follows_a_long_chain(spark, tmp_path):
+    pages = [(i, f"https://s.dk/recipe/{i}", f'<a href="/recipe/{i + 1}">x</a>') for i in range(24)]
+    fetches = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    roots, trusted = spark.createDataFrame([("https://s.dk/recipe/0",)], "url string"), spark.createDataFrame([("s.dk",)], "domain string")
+    found = {r[0]: r[1] for r in crawl.crawl(fetches, roots, trusted, str(tmp_path)).collect()}
+    assert found == {f"https://s.dk/recipe/{i}": i for i in range(25)}
