@@ -25,10 +25,12 @@ SLICE_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset, a folder of our own (local runs, tests)."""
+    """The folder of ``spark.checkpoint.dir``; only where that is unset, and on one machine, a folder of our own (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = f"file://{tempfile.mkdtemp(prefix='larder-')}"
     spark.conf.set("spark.checkpoint.dir", own)
     atexit.register(_delete, spark, own)
@@ -81,8 +83,9 @@ def map_file(uri: str, dtype: str) -> np.ndarray:
 def arrow(df: DataFrame, step: Callable, schema) -> DataFrame:
     """``mapInArrow`` with batches of bounded bytes. The bound is a setting of the session; a smaller one stays."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int(re.sub(r"\D", "", conf.get(key)) or 0)
-    if not 0 < now <= BATCH_BYTES:
+    now = conf.get(key)
+    plain = int(now) if re.fullmatch(r"-?\d+", now) else df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now)
+    if not 0 < plain <= BATCH_BYTES:
         conf.set(key, str(BATCH_BYTES))
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,16 +140,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class SpanHash:
-    """64-bit hashes of spans of one byte array: polynomials, so a span costs the same however long it is."""
+    """64-bit hashes of spans of one byte array: polynomials, so a span costs the same however long it is.
+
+    They aren't strong: whoever takes spans of one hash for equal compares their bytes too.
+    """
 
     _powers: tuple[np.ndarray, np.ndarray] | None = None
     _base = np.uint64(0x9E3779B97F4A7C15)
-    _tables = np.random.default_rng(7).integers(1, 2**64, (2, 256), dtype=np.uint64)
+    _table = np.random.default_rng(7).integers(1, 2**64, 256, dtype=np.uint64)
 
-    def __init__(self, data: np.ndarray, table: int = 0) -> None:
+    def __init__(self, data: np.ndarray) -> None:
         up, self.down = self.powers(len(data) + 1)
         self.sum = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self._tables[table][data] * up[: len(data)], out=self.sum[1:])
+        np.cumsum(self._table[data] * up[: len(data)], out=self.sum[1:])
 
     @classmethod
     def powers(cls, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -49,8 +49,9 @@ class Encoder:
     The pre-tokenizers of the two kinds known here never join what a lone blank or line feed between
     two non-blanks parts: byte-level splitting puts the blank at the front of the next word and makes
     the line feed a token, the word pattern drops both. So a text is cut before each of these; a piece
-    is known again by two 64-bit hashes and its length, in arrays over a whole batch, and new pieces
-    are encoded many at once, with a separator between them whose id cuts the result. Texts with the
+    is looked up by a 64-bit hash, in arrays over a whole batch, and its bytes are compared with those
+    of the piece that is found; new pieces are encoded many at once, with a separator between them
+    whose id cuts the result. Texts with a piece whose hash belongs to other bytes, texts with the
     string of a special token, and all texts of other tokenizers, are encoded in one.
     """
 
@@ -89,8 +90,9 @@ class Encoder:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def forget(self) -> None:
-        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.key = np.zeros(0, np.uint64)
         self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.raw_at, self.raw_size, self.raw = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def pieces(self, pieces: list[str]) -> list[np.ndarray]:
         """Ids of each piece."""
@@ -118,13 +120,11 @@ class Encoder:
         bounds = np.zeros(len(column) + 1, np.int64)
         if len(data) and not whole.all():
             starts, sizes, row = self.cuts(data, offsets)
-            found = self.lookup(data, starts, starts + sizes)
-            if found is None:  # two pieces with one hash: never seen
-                whole[:] = True
-            else:
-                where, n = self.at[found], self.size[found]
-                flat = self.pool[_spans(where, n)]
-                bounds = np.concatenate(([0], np.cumsum(np.bincount(row, n, len(column)).astype(np.int64))))
+            found, same = self.lookup(data, starts, starts + sizes)
+            whole[row[~same]] = True  # another piece has the hash
+            where, n = self.at[found], self.size[found]
+            flat = self.pool[_spans(where, n)]
+            bounds = np.concatenate(([0], np.cumsum(np.bincount(row, n, len(column)).astype(np.int64))))
         out = flat.tobytes()
         return [np.array(self.ids(column[i].as_py()), "<u4").tobytes() if w else out[4 * s : 4 * e] for i, (w, s, e) in enumerate(zip(whole, bounds[:-1].tolist(), bounds[1:].tolist()))]
 
@@ -151,34 +151,37 @@ class Encoder:
         row = np.searchsorted(offsets, starts, side="right") - 1
         return starts, np.append(starts[1:], len(data)) - starts, row
 
-    def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
-        """The place in the table of each piece, new ones learnt."""
-        hashes = SpanHash(data)
-        key, check = hashes.of(starts, ends), SpanHash(data, 1).of(starts, ends)
+    def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place in the table of each piece, new ones learnt, and whether the bytes there are its own."""
+        key = SpanHash(data).of(starts, ends)
         names, first, back = np.unique(key, return_index=True, return_inverse=True)
-        if (check[first][back] != check).any():
-            return None
         if len(self.key) + len(names) > self.PIECES:
             self.forget()
         at = np.searchsorted(self.key, names)
         known = np.zeros(len(names), bool)
         near = at < len(self.key)
         known[near] = self.key[at[near]] == names[near]
-        if (self.check[at[known]] != check[first[known]]).any():
-            return None
         new = first[~known]
         if len(new):
-            raw = data.tobytes()
+            raw, size = data.tobytes(), ends[new] - starts[new]
             ids = self.pieces([raw[s:e].decode() for s, e in zip(starts[new].tolist(), ends[new].tolist())])
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            where = len(self.pool) + np.cumsum(size) - size
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            rows = (key[new], len(self.pool) + np.cumsum(n) - n, n, len(self.raw) + np.cumsum(size) - size, size)
             self.pool = np.concatenate((self.pool, *ids))
+            self.raw = np.concatenate((self.raw, data[_spans(starts[new], size)]))
             merged = np.concatenate((self.key, key[new]))
             order = np.argsort(merged, kind="stable")
-            self.key = merged[order]
-            self.check, self.at, self.size = (np.concatenate(x)[order] for x in ((self.check, check[new]), (self.at, where), (self.size, size)))
+            self.key, self.at, self.size, self.raw_at, self.raw_size = (np.concatenate(x)[order] for x in zip((self.key, self.at, self.size, self.raw_at, self.raw_size), rows))
             at = np.searchsorted(self.key, names)
-        return at[back]
+        found, size = at[back], ends - starts
+        same = self.raw_size[found] == size
+        # pieces lie one after the other, so the bytes of all are those of the data
+        mine, theirs = (data[starts[0] :], self.raw[_spans(self.raw_at[found], size)]) if same.all() else (data[_spans(starts[same], size[same])], self.raw[_spans(self.raw_at[found[same]], size[same])])
+        unlike = np.flatnonzero(mine != theirs)
+        if len(unlike):
+            compared = np.flatnonzero(same)
+            same[compared[np.searchsorted(np.cumsum(size[compared]), unlike, side="right")]] = False
+        return found, same
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[object, bytes]]:
