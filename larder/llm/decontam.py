@@ -3,8 +3,8 @@
 Words are cut out of ASCII-lower-cased text. Word k-grams are hashed; in every run of
 ``window - k + 1`` consecutive k-grams the smallest hash is a fingerprint. Two texts that share
 ``window`` words share such a run, so they share a fingerprint: joining the fingerprints of
-documents and benchmark misses none. Every join hit is extended word by word to the longest equal
-span, whose bytes are compared; spans of at least ``window`` words count.
+documents and benchmark misses none. Every join hit is extended word by word, by word hashes; the
+bytes of its words are compared, and each run of at least ``window`` equal words in it counts.
 
 Items of fewer words than a window have no run; each is one whole window and is found by the hash
 of its full word sequence.
@@ -108,9 +108,16 @@ class Index:
                 inside = np.flatnonzero(words.row[: len(grams)] == words.row[n - 1 :])
                 at, item = self.join(grams[inside], inside, table, where)
                 found.update((int(a), int(a) + n, int(i)) for a, i in zip(at, item))
-        for start, end, item in sorted(found):
-            if all(words.word(start + i) == self.bytes[item + i] for i in range(end - start)):
-                yield start, end, item
+        equal = []
+        for start, end, item in found:
+            # unequal words with one hash part a span; what is left of it may still hold a window
+            least, low = min(self.window, end - start), start
+            for at in range(start, end + 1):
+                if at == end or words.word(at) != self.bytes[item + at - start]:
+                    if at - low >= least:
+                        equal.append((low, at, item + low - start))
+                    low = at + 1
+        yield from sorted(equal)
 
     def extend(self, words: Words, mine: np.ndarray, theirs: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
         """The last pair of positions, going by ``step``, up to which all words are equal."""
