@@ -1,22 +1,25 @@
 """Exact top-k by inner product, by distributed histogram selection.
 
-Queries are taken in blocks of bounded size; a block is broadcast and scored against all rows.
+Queries are taken in blocks of bounded size; a block is broadcast and scored, a part at a time, against all rows.
 Every partition adds a histogram of each query's scores over its current range of scores; the sums
 locate the bin of the k-th highest score, whose range is the next pass's, until the bin is one
 score wide. A last pass keeps scores above the k-th, and of those equal to it the smallest ids;
 a partition never sends more than k rows of a query.
 
 Vectors are quantised to integers, so scores are exact: they are computed in doubles while every
-partial sum is below 2**53, else in Python integers.
+partial sum is below 2**53, else in Python integers. A score is a 64-bit integer: one beyond that
+range counts, in its rank too, as the nearest one within it.
 
 Defined results: a vector that is null or empty, or holds a null or non-finite component, takes no
 part, nor does one with a null id; vectors of different lengths have no score with each other; a
 row is no candidate for the query of its own id; a repeated query id is asked once, with the
-smallest of its vectors; repeated candidates are candidates each; fewer candidates than k give all.
+smallest of its vectors; repeated candidates are candidates each; fewer candidates than k give all;
+a component that overflows when scaled counts as the largest double.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,24 +28,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from larder.llm.common import arrow, put
+from larder.llm.common import arrow, put, scratch
 
-#: Queries scored at once: with 64 components, 1 MB to broadcast.
-BLOCK = 2048
-#: Rows scored at once and bins of a histogram.
-ROWS, BINS = 1024, 256
-HISTOGRAM = "query long, bin int, n long, high long"
+#: Queries of a block, which is scored in one pass over the rows: with 64 components, 8 MB to broadcast.
+BLOCK = 16384
+#: Queries and rows scored at once, and bins of a histogram.
+STEP, ROWS, BINS = 2048, 1024, 256
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def quantised(table: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
-    """(vec_id, q): floor(scale * component) of the vectors that take part."""
-    wide = F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("decimal(38,0)"))
+    """(vec_id, q): floor(scale * component) of the vectors that take part, as doubles, which hold these integers exactly."""
     bad = F.exists(F.col(vector), lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    fit = F.exists(wide, lambda x: x.isNull() | (F.abs(x) >= 2**62))
     rows = table.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0) & ~bad)
-    # a component beyond 62 bits has no long; such vectors are refused, not dropped
-    q = F.when(fit, F.raise_error(F.lit("component too large to quantise"))).otherwise(F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))))
-    return rows.select(F.col(vec_id).cast("long").alias("vec_id"), q.cast("array<bigint>").alias("q"))
+    scaled = F.transform(F.col(vector), lambda x: F.lit(float(scale)) * x.cast("double"))
+    top = F.lit(sys.float_info.max)
+    # from 2**53 on a double is an integer, and may be none of Spark's
+    q = F.transform(scaled, lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(F.greatest(-top, F.least(top, x))))
+    return rows.select(F.col(vec_id).cast("long").alias("vec_id"), q.alias("q"))
 
 
 class Block:
@@ -50,18 +53,21 @@ class Block:
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray) -> None:
         self.ids, self.matrix = ids, matrix
-        self.largest = float(np.abs(matrix.astype(np.float64)).max()) if matrix.size else 0.0
-
-    def scores(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Integer scores (queries x rows) and which of them are of a query's own row."""
-        bound = self.largest * float(np.abs(rows.astype(np.float64)).max()) * rows.shape[1]
-        if bound < 2**53:
-            score = (self.matrix.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
-        elif bound < 2**62:
-            score = self.matrix @ rows.T
-        else:
-            score = (self.matrix.astype(object) @ rows.astype(object).T).astype(np.int64)  # raises beyond 64 bits
-        return score, self.ids[:, None] == ids[None, :]
+        self.largest = float(np.abs(matrix).max()) if matrix.size else 0.0
+
+    def scores(self, ids: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For STEP queries at a time: number of the first, integer scores (queries x rows) and which of them are of a query's own row."""
+        bound = self.largest * float(np.abs(rows).max()) * rows.shape[1]
+        for low in range(0, len(self.ids), STEP):
+            part = self.matrix[low : low + STEP]
+            if bound < 2**53:
+                score = (part @ rows.T).astype(np.int64)
+            elif bound < 2**62:
+                score = part.astype(np.int64) @ rows.astype(np.int64).T
+            else:
+                whole = np.frompyfunc(int, 1, 1)
+                score = np.maximum(np.minimum(whole(part) @ whole(rows).T, MOST), LEAST).astype(np.int64)
+            yield low, score, self.ids[low : low + STEP, None] == ids[None, :]
 
 
 def chunks(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -74,7 +80,7 @@ def chunks(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[np.nda
             own = np.flatnonzero(sizes == dim)
             if len(own):
                 taken = lists.take(pa.array(own))
-                yield part.column("vec_id").to_numpy(zero_copy_only=False)[own].astype(np.int64), taken.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+                yield part.column("vec_id").to_numpy(zero_copy_only=False)[own].astype(np.int64), taken.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
 def _histograms(rows: DataFrame, block, low: np.ndarray, width: np.ndarray, k: int, shift: int) -> DataFrame:
@@ -83,15 +89,14 @@ def _histograms(rows: DataFrame, block, low: np.ndarray, width: np.ndarray, k: i
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, (lo, step) = block.value, state.value
-        n, m = len(b.ids), BINS + 2
-        total = np.zeros(n * m, np.int64)
-        base = np.arange(n)[:, None] * m
+        m = BINS + 2
+        total = np.zeros((len(b.ids), m), np.int64)
         for ids, matrix in chunks(batches, b.matrix.shape[1]):
-            score, own = b.scores(ids, matrix)
-            at = np.clip(((score >> shift) - lo[:, None]) // step[:, None], -1, BINS) + 1  # 0: below the range
-            at[own] = 0
-            total += np.bincount((base + at).ravel(), minlength=n * m)
-        total = total.reshape(n, m)
+            for first, score, own in b.scores(ids, matrix):
+                n = len(score)
+                at = np.clip(((score >> shift) - lo[first : first + n, None]) // step[first : first + n, None], -1, BINS) + 1  # 0: below the range
+                at[own] = 0
+                total[first : first + n] += np.bincount((np.arange(n)[:, None] * m + at).ravel(), minlength=n * m).reshape(n, m)
         # a bin below this partition's own k-th score can't hold the k-th of all
         above = np.cumsum(total[:, ::-1], 1)[:, ::-1] - total
         q, at = np.nonzero((total > 0) & (above < k))
@@ -111,20 +116,21 @@ def _kth(rows: DataFrame, block, k: int, bound: int) -> np.ndarray:
     shift = max(0, bound.bit_length() - 60)
     n, bound = len(block.value.ids), (bound >> shift) + 1
     low, width = np.full(n, -bound, np.int64), np.full(n, -(-(2 * bound + 1) // BINS), np.int64)
+    # the highest bin at which k scores are reached, or else the lowest of all
+    start = F.struct(F.lit(0).cast("long").alias("above"), F.lit(-1).alias("bin"))
+    reached = lambda s, x: (x["bin"] < BINS) & (s["above"] + x["n"] >= k)
+    step = lambda s, x: F.when(s["bin"] >= 0, s).otherwise(F.struct((s["above"] + x["n"]).alias("above"), F.when(reached(s, x), x["bin"]).otherwise(-1).alias("bin")))
+    lowest = F.when(F.min("bin") < BINS, F.min("bin")).otherwise(-1)
     while True:
-        above, found = np.zeros(n, np.int64), np.full(n, -1)
-        counts: list[dict[int, int]] = [{} for _ in range(n)]
-        for q, b, c in _histograms(rows, block, low, width, k, shift).collect():  # at most about k bins a query and partition sum to BINS
-            counts[q][b] = c
-        for q, c in enumerate(counts):
-            for b in sorted(c, reverse=True):
-                if b < BINS and (above[q] + c[b] >= k or b == min(c)):
-                    found[q] = b
-                    break
-                above[q] += c[b]
+        counts = _histograms(rows, block, low, width, k, shift)
+        bins = counts.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("bin", "n")), asc=False).alias("bins"), lowest.alias("lowest"))  # at most BINS + 1 of a query
+        place = F.aggregate("bins", start, step)["bin"]
+        found = np.full(n, -1)
+        for q, b in bins.select("query", F.when(place >= 0, place).otherwise(F.col("lowest"))).collect():  # a row for each query of the block
+            found[q] = b
         low = np.where(found >= 0, low + found * width, low)
         if (width == 1).all():
-            return np.array([max(-(1 << 63), min((1 << 63) - 1, int(x) << shift)) for x in low], np.int64)
+            return np.array([max(LEAST, min(MOST, int(x) << shift)) for x in low], np.int64)
         width = -(-width // BINS)
 
 
@@ -135,22 +141,19 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     largest = F.array_max(F.transform("q", lambda x: F.abs(x)))
     stats = rows.groupBy(F.size("q").alias("dim")).agg(F.max(largest).alias("m"), F.count("*").alias("n"))
     asked = queries.groupBy("vec_id").agg(F.min("q").alias("q"))
-    out = []
+    out, schema = scratch(spark, "top"), "query_id long, rank int, vec_id long, score long"
+    spark.createDataFrame([], schema).write.parquet(out)
     for dim, m, count in stats.collect():  # a row for each vector length
         same = asked.where(F.size("q") == dim).orderBy("vec_id")
         for ids, matrix in _blocks(same, dim):
             block = spark.sparkContext.broadcast(Block(ids, matrix))
-            bound = max(1, int(m) * int(block.value.largest) * dim)
+            bound = max(1, min(MOST, int(min(m * block.value.largest * dim, 2.0**63))))
             low = _kth(rows, block, min(k, count), bound)
             kept = _kept(rows, block, low, k)
             order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-            out.append(kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
-    if not out:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    result = out[0]
-    for x in out[1:]:
-        result = result.unionByName(x)
-    return result
+            best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            best.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(out)
+    return spark.read.schema(schema).parquet(out)
 
 
 def _blocks(queries: DataFrame, dim: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -159,10 +162,10 @@ def _blocks(queries: DataFrame, dim: int) -> Iterator[tuple[np.ndarray, np.ndarr
         ids.append(i)
         rows.append(q)
         if len(ids) == BLOCK:
-            yield np.array(ids, np.int64), np.array(rows, np.int64)
+            yield np.array(ids, np.int64), np.array(rows)
             ids, rows = [], []
     if ids:
-        yield np.array(ids, np.int64), np.array(rows, np.int64).reshape(-1, dim)
+        yield np.array(ids, np.int64), np.array(rows).reshape(-1, dim)
 
 
 def _kept(rows: DataFrame, block, low: np.ndarray, k: int) -> DataFrame:
@@ -173,9 +176,9 @@ def _kept(rows: DataFrame, block, low: np.ndarray, k: int) -> DataFrame:
         b = block.value
         held = [np.zeros((0, 3), np.int64)]
         for ids, matrix in chunks(batches, b.matrix.shape[1]):
-            score, own = b.scores(ids, matrix)
-            q, at = np.nonzero((score >= least.value[:, None]) & ~own)
-            held.append(np.stack((q, ids[at], score[q, at]), 1))
+            for first, score, own in b.scores(ids, matrix):
+                q, at = np.nonzero((score >= least.value[first : first + len(score), None]) & ~own)
+                held.append(np.stack((first + q, ids[at], score[q, at]), 1))
             if sum(map(len, held)) > 4 * k * len(b.ids):
                 held = [_best(np.concatenate(held), k)]
         rest = _best(np.concatenate(held), k)
