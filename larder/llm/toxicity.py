@@ -1,13 +1,14 @@
 """Toxicity by a linear-chain conditional random field over words.
 
 Labels are per document, so word labels are derived first: in the training sample, a hashed word or
-prefix is toxic if it is in so many more toxic than clean documents that chance would give less
-than one such feature; its words in toxic documents are labelled 1. A two-state chain with hashed
-features (word, prefixes) is fitted to these labels by its exact likelihood.
-Forward and backward messages are scans over 2 x 2 matrices, restarted at every document, so a
-batch of documents is one vectorised pass however long they are. A document's score joins its
-words' marginals: the negative log-chance that no word is toxic (marginals under ``NOISE`` left out), mapped to a probability by a
-logistic curve fitted on the same sample.
+prefix is toxic if it is in so many more toxic documents than its use in clean ones and their lengths
+make likely that chance would give less than one such feature; its words in toxic documents are
+labelled 1. A two-state chain with hashed features (word, prefixes) is fitted to these labels by its
+exact likelihood. Forward and backward messages are scans over 2 x 2 matrices, restarted at every
+document, so a batch of documents is one vectorised pass however long they are. A document's score
+aggregates the marginals of all its words: the sum of their ``POWER``-th powers, in which many small
+ones don't add up to a large one however long the text is, mapped to a probability by a logistic
+curve fitted on the same sample.
 
 The sample: at most ``POSITIVE`` toxic and ``NEGATIVE`` clean labelled documents of at most
 ``LONGEST`` characters, chosen by hash. Scoring takes whole texts of any length.
@@ -39,10 +40,12 @@ BUCKETS = 1 << 20
 #: Digits, lower-case letters and all bytes above ASCII.
 LETTERS = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 PREFIXES = (4, 5, 6, 7)
-#: Words with a smaller marginal say nothing of their document; else long texts would add up to toxic ones.
-NOISE = 0.1
+#: Marginals are joined by the sum of these powers; LEAST is added to it before its logarithm is taken.
+POWER, LEAST = 4, 1e-9
 #: A toxic feature is in at least so many times more toxic documents than its share of clean ones makes likely.
 RATIO = 4.0
+#: Chosen features whose documents another one must share to be added.
+SEVERAL = 3
 BLOCK = 128
 
 
@@ -115,24 +118,19 @@ class Crf:
         return one / (one + alpha[0] * beta[0])
 
     def evidence(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(marginal of each word, negative log-chance of no toxic word per text)."""
+        """(marginal of each word, joined marginals of each text)."""
         n = len(words.count)
         if not len(words.starts):
             return np.zeros(0), np.zeros(n)
         first = np.concatenate(([True], words.row[1:] != words.row[:-1]))
         alpha, beta, _ = self.messages(buckets(features(words)), first)
         p = self.marginal(alpha, beta)
-        return p, np.bincount(words.row, self.loss(p), minlength=n)
-
-    @staticmethod
-    def loss(p: np.ndarray) -> np.ndarray:
-        """Negative log-chance that a word is not toxic."""
-        return np.where(p >= NOISE, -np.log1p(-np.minimum(p, 1 - 1e-9)), 0.0)
+        return p, np.bincount(words.row, p**POWER, minlength=n)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         if self.prior is not None:
             return np.full(len(evidence), self.prior)
-        return 1 / (1 + np.exp(-np.clip(self.slope * np.log(evidence + 1e-6) + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * np.log(evidence + LEAST) + self.offset, -30, 30)))
 
 
 @dataclass
@@ -163,46 +161,69 @@ def toxic_features(parts: list[Part], toxic: np.ndarray) -> np.ndarray:
     """
     pairs = []
     for part in parts:
-        # each feature of a document once: sorted by document, then by hash
+        # each feature of a document once, with its number of words: sorted by document, then by hash
         flat, doc = part.feats.ravel(), np.tile(part.doc, len(part.feats))
         order = np.lexsort((flat, doc))
         flat, doc = flat[order], doc[order]
-        once = np.concatenate(([True], (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])))
-        pairs.append((flat[once], doc[once].astype(np.int32)))
+        once = np.flatnonzero(np.concatenate(([True], (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1]))))
+        pairs.append((flat[once], doc[once].astype(np.int32), np.diff(np.append(once, len(flat)))))
+    length = sum(np.bincount(p.doc, minlength=len(toxic)) for p in parts)
     # only what is in some toxic document can be chosen
-    names = np.unique(np.concatenate([f[toxic[d]] for f, d in pairs]))
-    buckets_, docs_ = [], []
+    names = np.unique(np.concatenate([f[toxic[d]] for f, d, _ in pairs]))
+    at_, docs_, uses_ = [], [], []
     while pairs:
-        flat, doc = pairs.pop(0)
+        flat, doc, uses = pairs.pop(0)
         at = np.minimum(np.searchsorted(names, flat), len(names) - 1).astype(np.int32)
         known = names[at] == flat
-        buckets_.append(at[known])
+        at_.append(at[known])
         docs_.append(doc[known])
-    bucket, doc = np.concatenate(buckets_), np.concatenate(docs_)
-    chance = (np.bincount(bucket[~toxic[doc]], minlength=len(names)) + 0.5) * (toxic.sum() / (~toxic).sum())
-    mine = toxic[doc]
-    bucket, doc = bucket[mine], doc[mine]
-    least = np.maximum(max(3, np.ceil(np.log(max(2, len(np.unique(bucket)))) / -np.log(toxic.mean()))), chance + 5 * np.sqrt(chance))
-    yes = np.bincount(bucket, minlength=len(names))
-    marked = (yes >= least) & (yes >= RATIO * chance)
-    some = marked[bucket]
-    bucket, doc = bucket[some], doc[some]
-    chosen, by = np.zeros(len(names), bool), np.full(len(toxic), -1)
-    while True:
+        uses_.append(uses[known])
+    name, doc, uses = np.concatenate(at_), np.concatenate(docs_), np.concatenate(uses_)
+    mine, n = toxic[doc], len(names)
+    # toxic documents that a feature of this use would be in by chance, by words and by documents
+    rate = (np.bincount(name[~mine], uses[~mine], minlength=n) + 0.5) / max(1, length[~toxic].sum())
+    sizes, many = np.unique(np.exp2(np.round(2 * np.log2(np.maximum(length[toxic], 1))) / 2), return_counts=True)
+    by_words = sum(c * -np.expm1(-rate * x) for x, c in zip(sizes, many))
+    by_docs = (np.bincount(name[~mine], minlength=n) + 0.5) * (toxic.sum() / (~toxic).sum())
+    chance = np.maximum(by_words, by_docs)
+    name, doc = name[mine], doc[mine]
+
+    def more(yes: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        """How much more there is than chance gives to one feature of all (Chernoff's bound), or a negative number."""
+        gain = yes * np.log(np.maximum(yes, 1) / chance) - (yes - chance) - np.log(n)
+        return np.where((yes >= 3) & (yes >= RATIO * chance), gain, -1)
+
+    marked = more(np.bincount(name, minlength=n), chance) > 0
+    some = marked[name]
+    name, doc = name[some], doc[some]
+    chosen, by = np.zeros(n, bool), np.full(len(toxic), -1)
+    while (by[toxic] < 0).any():
         open_ = by[doc] < 0
-        yes = np.bincount(bucket[open_], minlength=len(names))
-        fit = np.where((yes >= least) & (yes >= RATIO * chance), yes - RATIO * chance, -1)
-        best = int(fit.argmax())
-        if fit[best] < 0:
+        gain = more(np.bincount(name[open_], minlength=n), chance * (by[toxic] < 0).mean())
+        best = int(gain.argmax())
+        if gain[best] <= 0:
             break
-        by[doc[(bucket == best) & open_]] = chosen.sum()
+        by[doc[(name == best) & open_]] = chosen.sum()
         chosen[best] = True
-    n = int(chosen.sum())
-    several = np.unique((bucket.astype(np.int64) * n + by[doc])[by[doc] >= 0]) // max(n, 1)
-    chosen |= marked & (np.bincount(several, minlength=len(names)) >= min(4, max(n, 1)))
+    k = int(chosen.sum())
+    several = np.unique((name.astype(np.int64) * k + by[doc])[by[doc] >= 0]) // max(k, 1)
+    chosen |= marked & (np.bincount(several, minlength=n) >= min(SEVERAL, max(k, 1)))
     return names[chosen]
 
 
+def gradient(model: Crf, part: Part) -> tuple[np.ndarray, float, np.ndarray]:
+    """Of the log-likelihood of a part's word labels: by weight, bias and transition."""
+    alpha, beta, m = model.messages(part.feats, part.first)
+    error = part.y - model.marginal(alpha, beta)
+    grad = np.zeros(BUCKETS)
+    for f in part.feats:
+        grad += np.bincount(f, error, minlength=BUCKETS)
+    where = np.flatnonzero(~part.first)
+    joint = np.stack([alpha[i, where - 1] * m[2 * i + j, where] * beta[j, where] for i in (0, 1) for j in (0, 1)])
+    seen = np.bincount((2 * part.y[:-1] + part.y[1:])[~part.first[1:]], minlength=4)
+    return grad, float(error.sum()), (seen - (joint / joint.sum(0)).sum(1)).reshape(2, 2)
+
+
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5, decay: float = 1e-4) -> Crf:
     """Gradient ascent (AdaGrad) on the likelihood of the word labels, then the logistic curve."""
     model = Crf()
@@ -229,29 +250,19 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 25, rate: float = 0.5
     model.start = np.log(head / head.sum())
     square, sb, st = np.full(BUCKETS, 1e-8, np.float32), 1e-8, np.full((2, 2), 1e-8)
     for _ in range(rounds):
-        grad, g, expected = np.zeros(BUCKETS), 0.0, np.zeros((2, 2))
-        for part in parts:
-            alpha, beta, m = model.messages(part.feats, part.first)
-            error = part.y - model.marginal(alpha, beta)
-            for f in part.feats:
-                grad += np.bincount(f, error, minlength=BUCKETS)
-            g += float(error.sum())
-            where = np.flatnonzero(~part.first)
-            joint = np.stack([alpha[i, where - 1] * m[2 * i + j, where] * beta[j, where] for i in (0, 1) for j in (0, 1)])
-            expected += (joint / joint.sum(0)).sum(1).reshape(2, 2)
+        grad, g, gt = (sum(x) for x in zip(*(gradient(model, part) for part in parts)))
         grad -= decay * n * model.weights / BUCKETS
         square += (grad**2).astype(np.float32)
         model.weights += (rate * grad / np.sqrt(square)).astype(np.float32)
         sb += g * g
         model.bias += rate * g / np.sqrt(sb)
-        gt = pair - 1.0 - expected
         st += gt**2
         model.trans += 0.1 * rate * gt / np.sqrt(st)
     evidence = np.zeros(len(toxic))
     for part in parts:
         alpha, beta, _ = model.messages(part.feats, part.first)
-        evidence += np.bincount(part.doc, model.loss(model.marginal(alpha, beta)), minlength=len(toxic))
-    model.slope, model.offset = _logistic(np.log(evidence + 1e-6), toxic.astype(float))
+        evidence += np.bincount(part.doc, model.marginal(alpha, beta) ** POWER, minlength=len(toxic))
+    model.slope, model.offset = _logistic(np.log(evidence + LEAST), toxic.astype(float))
     return model
 
 
@@ -270,7 +281,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
 def train(docs: DataFrame, labels: DataFrame, trained_on: Column, *, positive: int = POSITIVE, negative: int = NEGATIVE) -> Crf:
     """Fit on labelled documents where ``trained_on`` (on ``doc_id``) holds; one task holds the bounded sample."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")).where(trained_on)
-    picked = per_class(rows.where("toxic"), "toxic", positive, F.col("doc_id")).unionByName(per_class(rows.where("not toxic"), "toxic", negative, F.col("doc_id")))
+    picked = per_class(rows.where("toxic"), "toxic", positive, F.col("doc_id"))[0].unionByName(per_class(rows.where("not toxic"), "toxic", negative, F.col("doc_id"))[0])
     # at most positive + negative ids are broadcast
     texts = docs.select("doc_id", "text").where(F.char_length("text") <= LONGEST).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["doc_id"])
 
