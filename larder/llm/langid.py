@@ -5,11 +5,13 @@ alone don't count) are hashed into buckets. The log-probability matrix, language
 broadcast; a batch of texts is scored by sparse lookups summed per text in numpy, whole texts.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents of each language,
-chosen by hash. One group of the fit holds one language's sample.
+chosen by hash; the priors are the shares of all of them. One group of the fit holds one language's
+sample.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without any training
 row every document is ``und``; a null lang is no training row; a null doc_id is scored, and is never
-a training row; repeated rows are scored each.
+a training row; repeated rows are scored, and count in training, each; of languages with equal
+scores the first by name is taken.
 """
 
 from __future__ import annotations
@@ -87,18 +89,17 @@ def train(docs: DataFrame, trained_on: Column, *, doc_id: str = "doc_id", text:
     rows = docs.where(trained_on & F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(BUCKETS, np.int64), 0
+        total = np.zeros(BUCKETS, np.int64)
         for batch in slices(batches, "text"):
             for bucket, _ in grams(batch.column("text").to_pylist()):
                 total += np.bincount(bucket, minlength=BUCKETS)
-            n += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([n], pa.int64()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["lang", "n", "counts"])
-
-    picked = per_class(rows, "lang", sample, F.col("doc_id"), F.col("text"))
-    fitted = sorted(tuple(r) for r in picked.groupBy("lang").applyInArrow(count, "lang string, n long, counts binary").collect())  # a row for each language
-    counts = np.array([np.frombuffer(c, "<i8") for _, _, c in fitted], np.float64).reshape(len(fitted), BUCKETS) + smooth
-    n = np.array([n for _, n, _ in fitted], np.float64)
-    return Model([x for x, _, _ in fitted], np.log(counts / counts.sum(1, keepdims=True)), np.log(n / n.sum()))
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["lang", "counts"])
+
+    picked, rows_of = per_class(rows, "lang", sample, F.col("doc_id"), F.col("text"))
+    fitted = sorted(tuple(r) for r in picked.groupBy("lang").applyInArrow(count, "lang string, counts binary").collect())  # a row for each language
+    counts = np.array([np.frombuffer(c, "<i8") for _, c in fitted], np.float64).reshape(len(fitted), BUCKETS) + smooth
+    n = np.array([rows_of[x] for x, _ in fitted], np.float64)
+    return Model([x for x, _ in fitted], np.log(counts / counts.sum(1, keepdims=True)), np.log(n / n.sum()))
 
 
 def predict(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

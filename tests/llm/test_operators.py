@@ -19,6 +19,16 @@ from ..oracle import same
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, spans string, items string, row string"
 
 
+SF = "/root/testdata/sf0.001"
+
+
+def table(name):
+    """A table of the smallest scale, read without Spark."""
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"{SF}/{name}.parquet").to_pylist()
+
+
 def docs(spark, rows):
     """Documents with extra columns whose names clash with what operators make."""
     return spark.createDataFrame([(i, t, "en", "s", 1, "x", "y", "z") for i, t in rows], DOCS)
@@ -136,6 +146,14 @@ def test_simhash_groups(spark):
     assert simhash.near_duplicates(docs(spark, [])).collect() == []
 
 
+def test_op2(spark):
+    texts = sorted(table("documents"), key=lambda d: d["doc_id"])
+    prints = [brute_print(d["text"]) for d in texts]
+    ids = [d["doc_id"] for d in texts]
+    want = {i: (f"{p:016x}", c) for i, p, c in zip(ids, prints, brute_components(prints, ids, 4))}
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in QUERIES["op2_simhash"](spark, SF).collect()} == want
+
+
 @pytest.mark.parametrize("radius,segments", [(4, 3), (3, 4), (6, 4), (4, 2)])
 def test_no_link_is_missed(spark, radius, segments):
     rng = random.Random(radius)
@@ -313,6 +331,31 @@ def test_token_files(spark):
     assert tokens.read_tokens(spark, empty).collect() == []
 
 
+def test_op5_and_op7(spark):
+    texts = sorted(table("documents"), key=lambda d: d["doc_id"])
+    at, got = 0, {r["doc_id"]: r for r in QUERIES["op5_token_files"](spark, SF).collect()}
+    for d in texts:
+        ids = np.array(encoded("byte_bpe_50k.json", d["text"]), "<u4")
+        r = got.pop(d["doc_id"])
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert not got
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in QUERIES["op7_packing"](spark, SF).collect():
+        pieces[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    for d in texts:
+        ids, at = np.array(encoded("word_bpe_49k.json", d["text"]), "<u4"), 0
+        for r in sorted(pieces.pop(d["doc_id"]), key=lambda r: r["start"]):
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids[at : at + r["length"]].tobytes()))
+            at += r["length"]
+        assert at == len(ids)
+    assert not pieces
+    for own in sequences.values():
+        own.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in own] == [0, *np.cumsum([r["length"] for r in own])[:-1]] and sum(r["length"] for r in own) <= 4096
+
+
 @pytest.mark.parametrize("parts,fan_in", [(1, 32), (9, 2)])
 def test_packing(spark, parts, fan_in):
     rows = [*enumerate(ODD), (None, "no id"), (50, prose(9000, 1)), *((100 + i, prose(30 * i, i)) for i in range(40))]
@@ -418,6 +461,86 @@ def test_forward_backward_equals_enumeration():
         assert np.allclose(got[low:high], one / total)
 
 
+def test_gradient_equals_finite_differences():
+    rng = np.random.default_rng(5)
+    model = toxicity.Crf(trans=rng.normal(size=(2, 2)), start=rng.normal(size=2), bias=0.3)
+    model.weights = np.zeros(toxicity.BUCKETS)
+    model.weights[:20] = rng.normal(size=20)
+    part = toxicity.Part(rng.integers(0, 20, (3, 8)).astype(np.int32), np.array([True, False, False, True, False, False, False, True]), np.zeros(8, int), rng.random(8) < 0.4)
+
+    def likelihood():
+        emit, total = model.weights[part.feats].sum(0) + model.bias, 0.0
+        for low, high in ((0, 3), (3, 7), (7, 8)):
+            score = lambda y: model.start[y[0]] + sum(emit[low + i] * y[i] for i in range(high - low)) + sum(model.trans[y[i - 1], y[i]] for i in range(1, high - low))
+            every = [score([bits >> i & 1 for i in range(high - low)]) for bits in range(1 << (high - low))]
+            total += score(part.y[low:high].astype(int)) - np.log(np.exp(every).sum())
+        return total
+
+    grad, bias, trans = toxicity.gradient(model, part)
+    step, at = 1e-5, likelihood()
+    for i in range(20):
+        model.weights[i] += step
+        assert abs((likelihood() - at) / step - grad[i]) < 1e-3
+        model.weights[i] -= step
+    model.bias += step
+    assert abs((likelihood() - at) / step - bias) < 1e-3
+    model.bias -= step
+    for i, j in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        model.trans[i, j] += step
+        assert abs((likelihood() - at) / step - trans[i, j]) < 1e-3
+        model.trans[i, j] -= step
+
+
+def brute_score(model, text):
+    """Plain forward and backward messages over all words, and the score of their marginals."""
+    words = common.Words(pa.array([text or ""]), toxicity.LETTERS)
+    if not len(words.starts):
+        return float(model.score(np.zeros(1))[0])
+    emit = model.weights[toxicity.buckets(toxicity.features(words))].sum(0).astype(float) + model.bias
+    t, n = np.exp(model.trans), len(emit)
+    forward, back = np.zeros((n, 2)), np.ones((n, 2))
+    local = lambda i: np.array([1.0, np.exp(emit[i])])
+    forward[0] = np.exp(model.start) * local(0)
+    for i in range(1, n):
+        forward[i] = forward[i - 1] @ t * local(i)
+        forward[i] /= forward[i].sum()
+    for i in range(n - 2, -1, -1):
+        back[i] = t @ (local(i + 1) * back[i + 1])
+        back[i] /= back[i].sum()
+    p = forward * back
+    p = p[:, 1] / p.sum(1)
+    return 1 / (1 + np.exp(-(model.slope * np.log((p**toxicity.POWER).sum() + toxicity.LEAST) + model.offset)))
+
+
+def test_op9(spark):
+    model = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"), langid.fold("doc_id", 5) != 0)
+    rows = {r["doc_id"]: r for r in QUERIES["op9_toxicity"](spark, SF).collect()}
+    texts = table("documents")
+    assert sorted(rows) == sorted(d["doc_id"] for d in texts) and model.prior is None
+    for d in texts:
+        r = rows[d["doc_id"]]
+        assert r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1
+        assert abs(r["score"] - brute_score(model, d["text"])) < 1e-4
+
+
+def test_toxicity_ranks_held_out_documents(spark):
+    sf = SF.replace("0.001", "0.01")
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect()}
+    held = [(r["score"], toxic[r["doc_id"]]) for r in QUERIES["op9_toxicity"](spark, sf).where("held_out").collect() if r["doc_id"] in toxic]
+    pairs = [(a > b) + (a == b) / 2 for a, x in held for b, y in held if x and not y]
+    assert np.mean(pairs) > 0.9
+
+
+def test_repeated_and_tied_rows_are_scored_each(spark):
+    rows, labels = toxic_docs(80)
+    model = toxicity.train(docs(spark, rows * 2), spark.createDataFrame(labels * 2, "doc_id long, quality int, toxic int"), F.lit(True))
+    got = toxicity.predict(docs(spark, rows * 2), model).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter({i: 2 for i, _ in rows}) and all(np.isfinite(r["score"]) for r in got)
+    assert len({(r["doc_id"], r["score"]) for r in got}) == len(rows)
+    long = docs(spark, [(1, "calm " * 2_000_000)])
+    assert toxicity.predict(long, model).first()["score"] < 0.5
+
+
 def test_scan_of_long_chains():
     rng = np.random.default_rng(2)
     m = rng.random((4, 3 * toxicity.BLOCK**2 + 17)) + 0.01
@@ -475,6 +598,61 @@ def test_language(spark):
     assert {r["lang_pred"] for r in langid.predict(table, nothing).collect()} == {"und"}
 
 
+def brute_language(training, texts):
+    """Multinomial naive Bayes in plain Python: shares of all training rows as priors, counts of hashed n-grams."""
+    top = (1 << 64) - 1
+
+    def scramble(v):
+        v = (v ^ (v >> 30)) * 0xBF58476D1CE4E5B9 & top
+        v = (v ^ (v >> 27)) * 0x94D049BB133111EB & top
+        return v ^ (v >> 31)
+
+    def bag(text):
+        chars, found = [c if c.isalpha() else " " for c in (text or "").lower()], Counter()
+        for n in (1, 2, 3):
+            for i in range(len(chars) - n + 1):
+                if any(c != " " for c in chars[i : i + n]):
+                    h = n
+                    for c in chars[i : i + n]:
+                        h = (h * 0x100000001B3 + ord(c)) & top
+                    found[scramble(h) & 0xFFFF] += 1
+        return found
+
+    counts, n = defaultdict(Counter), Counter()
+    for lang, text in training:
+        counts[lang] += bag(text)
+        n[lang] += 1
+    total, out = {x: sum(c.values()) + 0.5 * 65536 for x, c in counts.items()}, []
+    for text in texts:
+        own = bag(text)
+        if not own or not n:
+            out.append(("und", 0.0))
+            continue
+        score = {x: np.log(n[x] / n.total()) + sum(k * np.log((counts[x][b] + 0.5) / total[x]) for b, k in own.items()) for x in sorted(n)}
+        best = max(sorted(score), key=lambda x: score[x])
+        out.append((best, 1 / sum(np.exp(s - score[best]) for s in score.values())))
+    return out
+
+
+def test_op10(spark):
+    texts = table("documents")
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    want = brute_language([(d["lang"], d["text"]) for d in texts if not held(d["doc_id"]) and d["lang"] is not None and d["text"] is not None], [d["text"] for d in texts])
+    got = {r["doc_id"]: r for r in QUERIES["op10_language"](spark, SF).collect()}
+    assert len(got) == len(texts)
+    for d, (lang, score) in zip(texts, want):
+        r = got[d["doc_id"]]
+        assert (r["held_out"], r["lang_pred"]) == (held(d["doc_id"]), lang) and abs(r["score"] - score) < 1e-6
+    assert np.mean([got[d["doc_id"]]["lang_pred"] == d["lang"] for d in texts if held(d["doc_id"]) and d["lang"] and d["text"]]) > 0.95
+
+
+def test_language_ties_and_repeats(spark):
+    rows = [(1, "abab", "y"), (1, "abab", "y"), (2, "abab", "x"), (3, "abab", "x"), (None, "abab", "z")]
+    t = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predict(t, langid.train(t, F.lit(True))).collect()
+    assert len(got) == 5 and {(r["lang_pred"], r["score"]) for r in got} == {("x", 0.5)}
+
+
 # near copies
 
 
