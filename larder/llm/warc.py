@@ -1,14 +1,21 @@
 """A content-addressed WARC archive.
 
-Pages with equal payloads are found by their SHA-256. One of them, that with the largest page_id,
-becomes a ``response`` record holding the payload; the others become ``revisit`` records that hold
-their own headers and the payload digest only. Every task writes one file of gzip members, a record
-each. Reading splits each record into its exact header bytes and its payload, hashes every payload
-again and refuses a wrong digest. ``restore`` joins revisits to payloads on the digest.
+Pages with equal payloads are found by their SHA-256, on narrow rows. One of them, that with the
+largest page_id, becomes a ``response`` record; the others become ``revisit`` records that refer to
+it. Every task writes two files of gzip members: the exact headers of its records, and the payloads
+that it stores, each distinct payload once. Reading takes headers and payloads apart; a payload is
+known by the SHA-256 of its bytes. ``restore`` joins every header, a revisit's too, to its payload on
+that digest and puts the record together again; ``verified`` parses each such record, hashes its
+payload again and refuses a wrong digest or length.
+
+Html is shuffled to be written only where the pages that store nothing are too many to broadcast, and
+then by page, not by payload, so a payload that many pages share is no hot key; reading shuffles each
+payload once.
 
 Defined results: a null html is an empty payload; a null url gives no target line; a row with a
 null page_id is a response and nothing refers to it; repeated rows with the largest id are each a
-response; an empty table gives an archive without records.
+response (and each store the payload, of which one is read); an empty table gives an archive without
+records; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -25,26 +32,29 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import arrow, map_file, put, scratch, slices, whole_file
 
-RECORD = "page_id long, record_type string, payload_digest string, refers_to long, payload_bytes long, header binary, payload binary"
+HEADER = "page_id long, record_type string, payload_digest string, refers_to long, sha string, header binary"
 _PAGE = "<urn:larder:page:%s>"
+_END = b"\r\n\r\n"
+#: Pages that store no payload and are broadcast at most (about 100 bytes each); beyond it the join is left to a shuffle.
+BROADCAST_PAGES = 100_000
 
 
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
-    """One WARC/1.1 record; a revisit, which leaves out the payload, if it refers to another page."""
+def header(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
+    """The WARC and HTTP header of one WARC/1.1 record; a revisit, whose block ends there, if it refers to another page."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    block = http + payload if refers_to is None else http
+    length = len(http) + (len(payload) if refers_to is None else 0)
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_PAGE % page_id}", f"WARC-Date: {date}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
-    lines.append(f"WARC-Payload-Digest: sha1:{digest(payload)}")
+    lines += [f"WARC-Payload-Digest: sha1:{digest(payload)}", f"X-Payload-SHA256: {hashlib.sha256(payload).hexdigest()}"]
     if refers_to is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_PAGE % refers_to}"]
-    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
-    return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
+    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {length}", "", ""]
+    return "\r\n".join(lines).encode() + http
 
 
 def members(data) -> Iterator[bytes]:
@@ -61,85 +71,125 @@ def members(data) -> Iterator[bytes]:
         yield b"".join(out)
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
-    """(fields, exact header bytes up to the payload, payload) of one record."""
-    end = data.index(b"\r\n\r\n") + 4
-    fields = dict(line.split(": ", 1) for line in data[:end].decode().split("\r\n")[1:] if line)
-    length = int(fields["Content-Length"])
-    if data[end + length :] != b"\r\n\r\n":
-        raise ValueError("a record's length is wrong")
-    start = data.index(b"\r\n\r\n", end, end + length) + 4
-    return fields, data[:start], data[start : end + length]
+def fields(head: bytes) -> dict[str, str]:
+    """The named fields of a WARC header."""
+    return dict(line.split(": ", 1) for line in head[: head.index(_END)].decode().split("\r\n")[1:])
+
+
+def parse(data: bytes) -> tuple[dict[str, str], bytes]:
+    """(fields, payload) of a record with its payload; its lengths and its digest are checked."""
+    found, start = fields(data), data.index(_END) + 4
+    start = data.index(_END, start) + 4
+    payload = data[start:-4]
+    block = int(found["Content-Length"]) + (len(payload) if found["WARC-Type"] == "revisit" else 0)
+    if data[-4:] != _END or block != len(data) - 4 - data.index(_END) - 4:
+        raise ValueError(f"the length of {found['WARC-Record-ID']} is wrong")
+    if digest(payload) != found["WARC-Payload-Digest"].removeprefix("sha1:"):
+        raise ValueError(f"the payload of {found['WARC-Record-ID']} has another digest")
+    return found, payload
 
 
 def _page(field: str | None) -> int | None:
     return None if field is None or field == _PAGE % None else int(field.removeprefix("<urn:larder:page:").removesuffix(">"))
 
 
-def write_archive(pages: DataFrame, out: str, *, least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", page_id: str = "page_id", url: str = "url", html: str = "html") -> list[str]:
-    """Write the archive and return its file names. Payloads under ``least_bytes`` are all responses."""
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(html, F.lit("")).alias("html")).withColumn("sha", F.sha2("html", 256))
-    least = F.octet_length("html") >= least_bytes
-    # narrow and combined before the shuffle: a payload shared by many pages is one row for each task
-    first = rows.where(least & F.col("page_id").isNotNull()).groupBy("sha").agg(F.max("page_id").alias("first"))
-    joined = rows.join(first, "sha", "left")
-    refers = F.when(least & (F.col("page_id") < F.col("first")), F.col("first"))
-    joined = joined.select("page_id", "url", "html", refers.alias("refers_to"))
+def write_archive(pages: DataFrame, out: str, *, least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", page_id: str = "page_id", url: str = "url", html: str = "html") -> list[tuple[str, int, int]]:
+    """Write the archive; for each part its path, records and stored payloads. Records of payloads under ``least_bytes`` are all responses."""
+    html = F.coalesce(html, F.lit(""))
+    narrow = put(pages.select(F.col(page_id).cast("long").alias("page_id"), F.sha2(html, 256).alias("sha")).where("page_id is not null"), "digests")
+    first = narrow.groupBy("sha").agg(F.max("page_id").alias("first"))
+    others = put(narrow.join(first, "sha").where("page_id < first").select("page_id", "sha", "first").distinct(), "others")
+    small = others.limit(BROADCAST_PAGES + 1).count() <= BROADCAST_PAGES
+    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), html.alias("html")).withColumn("sha", F.sha2("html", 256))
+    joined = rows.join(F.broadcast(others) if small else others, ["page_id", "sha"], "left")
+    refers = F.when(F.octet_length("html") >= least_bytes, F.col("first"))
+    joined = joined.select("page_id", "url", "html", refers.alias("refers_to"), F.col("first").isNull().alias("stores"))
+    # pages without an id store what no page with an id does; one of equal ones is read
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        name, n = f"{out}/part-{task.partitionId():06d}.warc.gz", 0
-        with whole_file(name, task.taskAttemptId()) as f:
+        name, n, stored = f"{out}/part-{task.partitionId():06d}", 0, 0
+        with whole_file(f"{name}.headers.gz", task.taskAttemptId()) as heads, whole_file(f"{name}.payloads.gz", task.taskAttemptId()) as payloads:
             for batch in slices(batches, "html"):
                 for row in batch.to_pylist():
-                    gz = zlib.compressobj(1, zlib.DEFLATED, 31)
-                    f.write(gz.compress(record(row["page_id"], row["url"], row["html"].encode(), row["refers_to"], date)) + gz.flush())
+                    payload = row["html"].encode()
+                    heads.write(_member(header(row["page_id"], row["url"], payload, row["refers_to"], date)))
                     n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["file", "records"])
+                    if row["stores"]:
+                        payloads.write(_member(payload))
+                        stored += 1
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64()), pa.array([stored], pa.int64())], ["file", "records", "payloads"])
+
+    return sorted(tuple(r) for r in arrow(joined, write, "file string, records long, payloads long").collect() if r["records"])  # a row per part
+
 
-    return sorted(name for name, n in arrow(joined, write, "file string, records long").collect() if n)  # a row per file
+def _member(data: bytes) -> bytes:
+    gz = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return gz.compress(data) + gz.flush()
 
 
-def read_archive(spark: SparkSession, files: list[str], *, contents: bool = True) -> DataFrame:
-    """One row per record; ``header`` and ``payload`` are null unless ``contents``. A revisit has no payload and no length."""
-    shared = spark.sparkContext.broadcast(files)
+def _read(spark: SparkSession, files: list[str], row, schema: str) -> DataFrame:
+    """A row for each member of the files."""
+    shared, types, names = spark.sparkContext.broadcast(files), [], [x.split()[0] for x in schema.split(", ")]
+    for x in schema.split(", "):
+        types.append({"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[x.split()[1]])
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(types), types)], names)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in batch.column("id").to_pylist():
+        for ids in batches:
+            for i in ids.column("id").to_pylist():
                 rows, size = [], 0
                 for data in members(map_file(shared.value[i], "u1")):
-                    fields, header, payload = parse(data)
-                    kind, name = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if kind == "response" and digest(payload) != name:
-                        raise ValueError(f"the payload of {fields['WARC-Record-ID']} has another digest")
-                    own = kind == "response"
-                    rows.append((_page(fields["WARC-Record-ID"]), kind, name, _page(fields.get("WARC-Refers-To")), len(payload) if own else None, header if contents else None, payload if contents and own else None))
-                    size += len(data) if contents else 100
+                    rows.append(row(data))
+                    size += len(data)
                     if size > 4 << 20:
-                        yield _batch(rows)
+                        yield batch(rows)
                         rows, size = [], 0
-                yield _batch(rows)
+                yield batch(rows)
+
+    return arrow(spark.range(0, len(files), 1, max(1, len(files))), read, schema)
+
 
-    return arrow(spark.range(0, len(files), 1, max(1, len(files))), read, RECORD)
+def read_headers(spark: SparkSession, parts: list[tuple[str, int, int]]) -> DataFrame:
+    """(page_id, record_type, payload_digest, refers_to, sha, header): the exact headers and what they say."""
 
+    def row(data: bytes) -> tuple:
+        f = fields(data)
+        return _page(f["WARC-Record-ID"]), f["WARC-Type"], f["WARC-Payload-Digest"].removeprefix("sha1:"), _page(f.get("WARC-Refers-To")), f["X-Payload-SHA256"], data
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, types)], [f.split()[0] for f in RECORD.split(", ")])
+    return _read(spark, [f"{name}.headers.gz" for name, _, _ in parts], row, HEADER)
 
 
-def restore(records: DataFrame) -> DataFrame:
-    """(page_id, header, payload, payload_bytes, ...) with the payload of each revisit joined in on its digest."""
-    payloads = records.where("record_type = 'response'").groupBy("payload_digest").agg(F.first("payload").alias("p"), F.max("payload_bytes").alias("n"))
-    joined = records.join(payloads, "payload_digest")
-    return joined.withColumn("payload", F.coalesce("payload", "p")).withColumn("payload_bytes", F.coalesce("payload_bytes", "n")).drop("p", "n")
+def read_payloads(spark: SparkSession, parts: list[tuple[str, int, int]]) -> DataFrame:
+    """(sha, payload): each stored payload under the SHA-256 of its bytes."""
+    return _read(spark, [f"{name}.payloads.gz" for name, _, n in parts if n], lambda data: (hashlib.sha256(data).hexdigest(), data), "sha string, payload binary")
+
+
+def restore(headers: DataFrame, payloads: DataFrame) -> DataFrame:
+    """The headers with the original ``record``: header, payload and end. A payload that isn't there is an error."""
+    once = payloads.groupBy("sha").agg(F.first("payload").alias("payload"))
+    payload = F.coalesce("payload", F.raise_error(F.concat(F.lit("no payload has the digest "), "sha")))
+    return headers.join(once, "sha", "left").withColumn("record", F.concat("header", payload, F.lit(_END))).drop("payload", "sha")
+
+
+def verified(records: DataFrame) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of restored records, each parsed and checked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [parse(r.as_py()) for r in batch.column("record")]
+            columns = [[_page(f["WARC-Record-ID"]) for f, _ in rows], [len(p) for _, p in rows], [digest(p) for _, p in rows], [f["WARC-Type"] for f, _ in rows], [_page(f.get("WARC-Refers-To")) for f, _ in rows]]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+    return arrow(records.select("record"), run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch(spark, "warc"))
-    found = restore(put(read_archive(spark, files, contents=False), "records"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    parts = write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch(spark, "warc"))
+    return verified(restore(read_headers(spark, parts), read_payloads(spark, parts)))
 
 
 #: SHA-1 in base32: each 5 hexadecimal digits are 4 base-32 digits.

@@ -489,27 +489,40 @@ def test_packing(spark, parts, fan_in):
 def test_warc_round_trip(spark):
     pages = [(1, "http://a/", "<p>x</p>"), (2, "http://b/\r\nEvil: 1", "<p>x</p>"), (3, None, None), (4, "http://c/", ""), (None, "http://d/", "<p>x</p>"), (5, "u", "é" * 200_000), (7, "u", "rep"), (7, "u", "rep"), (6, "u", "rep")]
     table = spark.createDataFrame([(i, u, h, "clash") for i, u, h in pages], "page_id long, url string, html string, first string")
-    files = warc.write_archive(table, common.scratch(spark, "test"))
-    full = warc.restore(warc.read_archive(spark, files)).collect()
-    assert Counter((r["page_id"], bytes(r["payload"])) for r in full) == Counter((i, (h or "").encode()) for i, _, h in pages)
+    parts = warc.write_archive(table, common.scratch(spark, "test"))
+    heads = warc.read_headers(spark, parts)
+    full = warc.restore(heads, warc.read_payloads(spark, parts)).collect()
     kinds = {(r["page_id"], r["record_type"], r["refers_to"]) for r in full}
     assert kinds == {(1, "revisit", 2), (2, "response", None), (3, "revisit", 4), (4, "response", None), (None, "response", None), (5, "response", None), (7, "response", None), (6, "revisit", 7)}
-    for r in full:
-        page = next(p for p in pages if p[0] == r["page_id"])
-        whole = warc.record(page[0], page[1], (page[2] or "").encode(), r["refers_to"], "1970-01-01T00:00:00Z")
-        assert whole == bytes(r["header"]) + (bytes(r["payload"]) if r["refers_to"] is None else b"") + b"\r\n\r\n"
-    assert b"\r\nEvil" not in b"".join(bytes(r["header"]) for r in full)
+    want = Counter((i, warc.header(i, u, (h or "").encode(), dict((k[0], k[2]) for k in kinds)[i], "1970-01-01T00:00:00Z") + (h or "").encode() + b"\r\n\r\n") for i, u, h in pages)
+    assert Counter((r["page_id"], bytes(r["record"])) for r in full) == want
+    assert b"\r\nEvil" not in b"".join(bytes(r["header"]) for r in heads.collect())
+    stored = [bytes(r["payload"]) for r in warc.read_payloads(spark, parts).collect()]
+    assert sorted(set(stored)) == sorted({(h or "").encode() for _, _, h in pages}) and len(stored) <= 6  # the largest id is there twice, a page without id once
+    checked = warc.verified(warc.restore(heads, warc.read_payloads(spark, parts))).collect()
+    assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"]) for r in checked) == Counter((i, len((h or "").encode()), warc.digest((h or "").encode())) for i, _, h in pages)
     assert warc.write_archive(table.limit(0), common.scratch(spark, "test")) == []
-    assert warc.restore(warc.read_archive(spark, [])).collect() == []
-    assert all(r["record_type"] == "response" for r in warc.read_archive(spark, warc.write_archive(table, common.scratch(spark, "test"), least_bytes=1 << 30)).collect())
-
-
-def test_wrong_digest_is_refused(spark, tmp_path):
-    bad = warc.record(1, "u", b"good", None, "d").replace(b"good", b"evil")
-    gz = zlib.compressobj(1, zlib.DEFLATED, 31)
-    (tmp_path / "x.warc.gz").write_bytes(gz.compress(bad) + gz.flush())
-    with pytest.raises(Exception, match="another digest"):
-        warc.read_archive(spark, [f"file://{tmp_path}/x.warc.gz"]).collect()
+    assert warc.verified(warc.restore(warc.read_headers(spark, []), warc.read_payloads(spark, []))).collect() == []
+    least = warc.write_archive(table, common.scratch(spark, "test"), least_bytes=1 << 30)
+    assert all(r["record_type"] == "response" for r in warc.verified(warc.restore(warc.read_headers(spark, least), warc.read_payloads(spark, least))).collect())
+
+
+def test_warc_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_PAGES", 0)
+    same(spark, QUERIES["op6_warc"], ORACLES["op6_warc"])
+
+
+def test_wrong_digest_is_refused(spark):
+    bad = warc.header(1, "u", b"good", None, "d") + b"evil" + b"\r\n\r\n"
+    with pytest.raises(ValueError, match="another digest"):
+        warc.parse(bad)
+    with pytest.raises(ValueError, match="length"):
+        warc.parse(bad.replace(b"evil", b"evils"))
+    table = spark.createDataFrame([(1, "u", "good")], "page_id long, url string, html string")
+    parts = warc.write_archive(table, common.scratch(spark, "test"))
+    none = warc.read_payloads(spark, parts).where("sha = ''")
+    with pytest.raises(Exception, match="no payload has the digest"):
+        warc.restore(warc.read_headers(spark, parts), none).collect()
 
 
 # 8 chat
