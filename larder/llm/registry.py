@@ -11,6 +11,7 @@ QUERIES = {
     "op6_warc": warc.op6_warc,
     "op7_packing": packing.op7_packing,
     "op8_chat": chat.op8_chat,
+    "chat_parts": chat.chat_parts,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_language": langid.op10_language,
 }
@@ -21,4 +22,5 @@ ORACLES = {
     "op4_licences": licences.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
     "op8_chat": chat.OP8_SQL,
+    "chat_parts": chat.CHAT_PARTS_SQL,
 }

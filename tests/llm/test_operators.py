@@ -553,8 +553,20 @@ def test_chat_parts(spark):
     assert r["expanded_tokens"] == 617
 
 
-def test_chat_is_native(spark):
-    plan = QUERIES["op8_chat"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+def test_the_mask_is_what_is_cut(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "</s> one"), (1, 2, "assistant", ""), (2, 0, "assistant", "x" * 3_000_000 + "<|end|>"), (3, 0, "user", "none")]
+    table = spark.createDataFrame([(*r, "clash", 7, "clash") for r in rows], "conv_id long, turn long, role string, t string, formatted string, n int, segment string")
+    parts = F.array(chat._part("image"), chat._part("text", text=F.col("t")))
+    found = chat.format_chat(table.withColumn("parts", parts))
+    under = {r[0]: r[1] for r in found.select("conv_id", chat.under_loss(F.col("formatted"), F.col("mask"))).collect()}
+    assert under == {1: ["<|image|></s> one", "<|image|>"], 2: ["<|image|>" + rows[3][3]], 3: []}
+    moved = F.transform("mask", lambda m: F.when(m.isNotNull(), F.struct(m["base"], (m["start"] + 1).alias("start"), m["end"])))
+    assert {r[0]: r[1] for r in found.select("conv_id", chat.under_loss(F.col("formatted"), moved)).collect()} != under
+
+
+@pytest.mark.parametrize("name", ["op8_chat", "chat_parts"])
+def test_chat_is_native(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
