@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.common import Words, arrow, gram_hash, slices
+from larder.llm.common import Words, arrow, gram_hash, put, slices
 
 #: Digits, lower-case letters and all bytes above ASCII.
 LETTERS = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
@@ -64,7 +64,7 @@ class Index:
         words = Words(pa.array(texts, pa.string()), LETTERS)
         self.ids, self.first, self.hash = ids, words.first, words.hash
         self.row = words.row
-        self.bytes = [words.word(i) for i in range(len(words.starts))]
+        self.data, self.starts, self.ends = words.data, words.starts, words.ends
         hashes, where = self.select(words)
         order = np.argsort(hashes, kind="stable")
         self.prints, self.where = hashes[order], where[order]
@@ -75,6 +75,9 @@ class Index:
             order = np.argsort(hashes, kind="stable")
             self.short[n] = hashes[order], words.first[rows][order]
 
+    def word(self, i: int) -> bytes:
+        return self.data[self.starts[i] : self.ends[i]].tobytes()
+
     def select(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         grams = gram_hash(words.hash, self.k)
         row = words.row[: len(grams)]
@@ -113,7 +116,7 @@ class Index:
             # unequal words with one hash part a span; what is left of it may still hold a window
             least, low = min(self.window, end - start), start
             for at in range(start, end + 1):
-                if at == end or words.word(at) != self.bytes[item + at - start]:
+                if at == end or words.word(at) != self.word(item + at - start):
                     if at - low >= least:
                         equal.append((low, at, item + low - start))
                     low = at + 1
@@ -206,9 +209,14 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Record
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, k: int = 5) -> DataFrame:
-    """The documents, all columns kept, that hold no window of the benchmark; no shuffle for any number of blocks."""
-    for index in blocks(benchmark, item_id, item_text, window, k):
+    """The documents, all columns kept, that hold no window of the benchmark; no shuffle for any number of blocks.
+
+    What one block leaves is written for the next, so a task holds one index.
+    """
+    for i, index in enumerate(blocks(benchmark, item_id, item_text, window, k)):
         shared = docs.sparkSession.sparkContext.broadcast(index)
+        if i:
+            docs = put(docs, "clean")
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, text):

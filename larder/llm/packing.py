@@ -107,7 +107,8 @@ class Rows:
 
 
 def sequence_number(level: int, group: int, n: int) -> int:
-    return level << 56 | group << 24 | n
+    """Unique for up to 2**24 groups of a level and 2**32 sequences of a group."""
+    return level << 56 | group << 32 | n
 
 
 def pack(docs: DataFrame, tokenizer: str, *, length: int = 4096, open_windows: int = 16, fan_in: int = 32, end_id: int = 2, keep_ids: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
