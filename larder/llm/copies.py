@@ -11,11 +11,12 @@ pair at the threshold in each of the two cuts, however many bits there are; the
 the shingle sets themselves.
 
 Verification goes in rounds. A linear one tries each document of a crowded segment value with the
-one in the middle of it; then the look-ups list the pairs of different components, once, and every
-document tries its smallest open partners, one at first and sixteen times as many in each later
-round; verified pairs are joined to components, and pairs within a component need no check. So a
-group of n copies costs about n checks; only texts that look alike but aren't similar enough are
-tried in pairs.
+one in the middle of it. Then the look-ups list the pairs of different components, once: two
+documents of crowded values are listed in their first common segment only, and only if they are near
+by a fingerprint of ``WIDE`` words, so that altered copies of one text that aren't similar enough to
+each other aren't listed in pairs. Every document tries its smallest open partner, then its largest,
+then the rest; verified pairs are joined to components, and pairs within a component need no check.
+So a group of n copies costs about n checks.
 
 Defined results: exact copies (equal words after ASCII lower-casing, null and empty texts among
 them) are a group; rows with a null doc_id are kept; repeated rows of an id and text leave one;
@@ -43,17 +44,19 @@ from larder.llm.simhash import ball, fingerprint, segment, shingle_hashes, signe
 #: Ids that are broadcast at most (about 8 bytes each); beyond it the join is left to a shuffle.
 BROADCAST_IDS = 1_000_000
 #: A segment value is crowded if it has over so many times the mean number of documents.
-CROWD = 3
+CROWD = 2.5
 #: Segments that are looked up in one job.
-AT_ONCE = 4
+AT_ONCE = 2
 #: Pairs whose smaller set has at most so many shingles are planned and cut by themselves.
 SHORT = 13
 #: Set sizes up to which the chance of a differing bit is counted out; beyond, it is the angle's but for what sizes just below add.
 COUNTED = 64
 #: Chance of a cut by distance to drop a pair at the threshold.
 CUT = 1e-4
-#: Words that are compared at least, and those of them that look-ups carry.
-WORDS, CARRIED = 4, 2
+#: Words that are compared at least, those of them that look-ups carry, and words of documents of crowded values.
+WORDS, CARRIED, WIDE = 4, 2, 32
+#: Documents of a segment value that a width is chosen for, as a power of 2: wider segments have shorter lists, but need more of them.
+SPREAD = 7
 
 
 def _halves(n: int) -> np.ndarray:
@@ -88,11 +91,11 @@ def bit_difference(similarity: float, least: int = 1) -> float:
     return p
 
 
-def plan(documents: int, similarity: float, miss: float, least: int = 1) -> tuple[int, int, int]:
-    """(segment width, segments, 64-bit words) for so many documents, for pairs whose sets have at least ``least`` shingles."""
-    width = min(30, max(10, math.ceil(math.log2(max(2, documents))) - 5))
+def plan(documents: int, similarity: float, miss: float, least: int = 1, radius: int = 1) -> tuple[int, int, int]:
+    """(segment width, segments, 64-bit words) for so many documents and balls of this radius, for pairs whose sets have at least ``least`` shingles."""
+    width = min(30, max(10, math.ceil(math.log2(max(2, documents))) - SPREAD))
     p = bit_difference(similarity, least)
-    found = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
+    found = sum(math.comb(width, r) * p**r * (1 - p) ** (width - r) for r in range(radius + 1))
     segments = math.ceil(math.log(miss) / math.log(1 - found))
     return width, segments, max(WORDS, math.ceil(segments / (64 // width)))
 
@@ -148,22 +151,42 @@ def values(width: int, chosen: Iterable[int]) -> Column:
     return F.array(*(F.lit(i << 32).bitwiseOR(segment(F.col("fp")[i // each], i % each * width, width)) for i in chosen))
 
 
-def candidates(prints: DataFrame, width: int, segments: int, shared: int, longest: int, words: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a < b) of ``prints(id, n, fp, group)`` that share a segment up to a bit, whose distance is small and whose groups differ.
+def first_common(left: str, right: str, width: int, segments: int, radius: int) -> Column:
+    """Number of the first segment in which two fingerprints differ in ``radius`` bits at most."""
+    each = 64 // width
+    part = [segment(F.col(left)[i // each].bitwiseXOR(F.col(right)[i // each]), i % each * width, width) for i in range(segments)]
+    return F.coalesce(*(F.when(F.bit_count(x) <= radius, F.lit(i)) for i, x in enumerate(part)))
+
+
+def candidates(prints: DataFrame, width: int, segments: int, shared: int, longest: int, similarity: float, *, radius: int = 1, wide: bool = False) -> DataFrame:
+    """Pairs (a < b) of ``prints(id, n, fp, group, crowded)`` that share a segment up to ``radius`` bits, whose distance is small and whose groups differ.
 
     Segments from ``shared`` on are those of documents of at most ``longest`` shingles. A few segments are
-    looked up at a time: shuffle files of earlier ones can go before the next.
+    looked up at a time: shuffle files of earlier ones can go before the next. ``wide`` takes crowded
+    documents: all words of their fingerprints are compared, and a pair is listed once. Without it, pairs
+    of two crowded documents are left out.
     """
-    masks, found = F.array(*map(F.lit, ball(width, 1))), []
-    close = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & near(distance("fa", "fb", CARRIED), F.least("na", "nb"), 64 * CARRIED, similarity)
-    chosen = [(prints, range(i, min(shared, i + AT_ONCE))) for i in range(0, shared, AT_ONCE)]
-    chosen += [(prints.where(F.col("n") <= longest), range(i, min(segments, i + AT_ONCE))) for i in range(shared, segments, AT_ONCE)]
+    masks, found = ball(width, radius), []
+    at_once = AT_ONCE * (width + 1) // len(masks)
+    carried = WIDE if wide else CARRIED
+    close = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & near(distance("fa", "fb", carried), F.least("na", "nb"), 64 * carried, similarity)
+    close &= F.shiftright("home", 32) == first_common("fa", "fb", width, segments, radius) if wide else ~(F.col("ca") & F.col("cb"))
+    chosen = [(prints, range(i, min(shared, i + at_once))) for i in range(0, shared, at_once)]
+    chosen += [(prints.where(F.col("n") <= longest), range(i, min(segments, i + at_once))) for i in range(shared, segments, at_once)]
     for part, some in chosen:
-        keys, few = values(width, some), F.slice("fp", 1, CARRIED)
-        table = part.select(F.explode(keys).alias("key"), F.col("id").alias("b"), F.col("n").alias("nb"), few.alias("fb"), F.col("group").alias("gb"))
-        query = part.select(F.explode(keys).alias("home"), F.col("id").alias("a"), F.col("n").alias("na"), few.alias("fa"), F.col("group").alias("ga")).select(F.explode(F.transform(masks, lambda m: F.col("home").bitwiseXOR(m.cast("long")))).alias("key"), "a", "na", "fa", "ga")
+        keys = values(width, some)
+        side = lambda x: (F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.slice("fp", 1, max(carried, -(-segments // (64 // width)) if wide else 0)).alias(f"f{x}"), F.col("group").alias(f"g{x}"), F.col("crowded").alias(f"c{x}"))
+        table = part.select(F.explode(keys).alias("key"), *side("b"))
+        query = part.select(F.explode(keys).alias("home"), *side("a"))
+        if radius:
+            probes = F.transform(F.array(*map(F.lit, masks)), lambda m: F.col("home").bitwiseXOR(m.cast("long")))
+            query = query.select("*", F.explode(probes).alias("key"))
+        else:
+            query = query.withColumn("key", F.col("home"))
+        if not wide:
+            query = query.drop("home")
         pairs = query.join(table, (query["key"] == table["key"]) & close).select("a", "b").distinct()
-        found.append(put(_close(pairs, prints, words, similarity), "near"))
+        found.append(put(pairs, "near"))
         del table, query, pairs
         release(prints.sparkSession)
     return reduce(DataFrame.unionByName, found).distinct()
@@ -175,8 +198,8 @@ def _close(pairs: DataFrame, prints: DataFrame, words: int, similarity: float) -
     return pairs.join(left, "a").join(right, "b").where(near(distance("fa", "fb", words), F.least("na", "nb"), 64 * words, similarity)).select("a", "b")
 
 
-def stars(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> DataFrame:
-    """Pairs of the documents of each crowded segment value with the one in their middle, where groups differ.
+def stars(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of the documents of each crowded segment value with the one in their middle, where groups differ; and the ids of all these documents.
 
     Crowded: more than ``CROWD`` times the mean. The middle is the document nearest to the bitwise
     majority of the fingerprints, so of a text and its altered copies about the least altered one.
@@ -193,7 +216,7 @@ def stars(prints: DataFrame, width: int, segments: int, words: int, similarity:
     hubs = put(hubs.select("key", F.col("hub.id").alias("h"), "hub.fh", "hub.nh", "hub.gh"), "hubs")
     close = (F.col("group") != F.col("gh")) & near(F.bit_count(F.col("f").bitwiseXOR(F.col("fh"))), F.least("n", "nh"), 64, similarity)
     pairs = rows.join(hubs, "key").where(close).select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
-    return _close(pairs, prints, words, similarity)
+    return put(_close(pairs, prints, words, similarity), "stars"), put(rows.select("id").distinct(), "crowded")
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -205,9 +228,12 @@ def _similar(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ta"):
-            keep = []
+            keep, sets = [], {}
             for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
-                u, v = np.unique(shingle_hashes(x, size)), np.unique(shingle_hashes(y, size))
+                for t in (x, y):
+                    if t not in sets:
+                        sets[t] = np.unique(shingle_hashes(t, size))
+                u, v = sets[x], sets[y]
                 both = len(np.intersect1d(u, v, assume_unique=True))
                 keep.append(both >= similarity * (len(u) + len(v) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -246,17 +272,28 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
         return prints.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "fp", F.coalesce("component", "id").alias("group"))
 
     # stars first: they join most of a large group, whose pairs then needn't be listed
-    grow(put(stars(grouped(), width, shared, compared, similarity), "stars"))
-    open_, tries = put(candidates(put(grouped(), "grouped"), width, segments, shared, longest, compared, similarity), "pairs"), 1
-    while not open_.isEmpty():
-        rank = F.row_number().over(W.partitionBy("b").orderBy("a"))
-        tried = put(open_.withColumn("n", rank).where(F.col("n") <= tries).select("a", "b"), "tried")
-        tries *= 16
-        grow(tried)
-        left = open_.join(tried, ["a", "b"], "left_anti")
+    pairs, crowded = stars(grouped(), width, shared, compared, similarity)
+    grow(pairs)
+    marked = put(grouped().join(crowded.withColumn("crowded", F.lit(True)), "id", "left").fillna(False, "crowded"), "grouped")
+    open_ = _close(put(candidates(marked, width, segments, shared, longest, similarity), "near"), prints, compared, similarity).distinct()
+    # fingerprints of so many words have segments enough to look up equal values alone, with fewer rows than balls, while segments aren't too wide
+    radius = 0 if plan(many, similarity, miss, radius=0)[2] <= WIDE else 1
+    _, segments, words = plan(many, similarity, miss, radius=radius)
+    _, shared, _ = plan(many, similarity, miss, SHORT + 1, radius)
+    texts = by_ids(docs, crowded.withColumnRenamed("id", "doc_id"), "left_semi")
+    wide = _narrow(texts, size, max(WIDE, words), 0, max(WIDE, words)).dropDuplicates(["doc_id", "sha"]).withColumnRenamed("doc_id", "id")
+    wide = put(wide.join(marked.where("crowded").select("id", "group", "crowded").distinct(), "id").drop("sha"), "wide")
+    open_ = put(open_.unionByName(candidates(wide, width, segments, shared, longest, similarity, radius=radius, wide=True)), "pairs")
+    low, high = (f("a").over(W.partitionBy("b")) for f in (F.min, F.max))
+    turn = F.when(F.col("a") == low, 0).when(F.col("a") == high, 1).otherwise(2)
+    turns = put(open_.withColumn("turn", turn), "turns")
+    for k in range(3):
+        tried = turns.where(F.col("turn") == k)
         for side in "ab":
-            left = left.join(found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
-        open_ = put(left.where("ca is null or cb is null or ca <> cb").select("a", "b"), "pairs")
+            tried = tried.join(found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+        tried = put(tried.where("ca is null or cb is null or ca <> cb").select("a", "b"), "tried")
+        if not tried.isEmpty():
+            grow(tried)
     named = narrow.select("doc_id").distinct().join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return named.select("doc_id", F.coalesce("component", "doc_id").alias("group"))
 

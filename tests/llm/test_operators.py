@@ -846,6 +846,7 @@ def test_plan_reaches_its_recall():
     for n in (10, 10**4, 10**7, 10**10):
         width, segments, words = copies.plan(n, 0.8, 0.003)
         assert segments <= words * (64 // width) and width <= 30
+        assert copies.plan(n, 0.8, 0.003, radius=0)[2] <= copies.WIDE or n >= 10**7
 
 
 @pytest.mark.parametrize("left,right,both", [(4, 5, 4), (5, 6, 5), (8, 9, 8), (9, 9, 8), (13, 14, 12), (22, 23, 20), (200, 205, 180)])
