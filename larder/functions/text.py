@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 from larder import constants as C
 
-WHITE = "[" + "".join(f"\\x{{{c:X}}}" for c in C.WHITE_CODES) + "]+"
+def _class(codes: list[int]) -> str:
+    """A character class with a range for each run of codes: long unions are slow to match."""
+    runs: list[list[int]] = []
+    for c in sorted(codes):
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "[" + "".join(f"\\x{{{a:X}}}" + (f"-\\x{{{b:X}}}" if b > a else "") for a, b in runs) + "]"
+
+
+WHITE = _class(C.WHITE_CODES) + "+"
+_IN_LINE = _class([c for c in C.WHITE_CODES if c != 0xA]) + "+"
 
 
 def clean_text(c: Column) -> Column:
@@ -24,10 +36,13 @@ def text_with_breaks(html: Column) -> Column:
     return F.replace(F.regexp_replace(s, "<[^>]+>", ""), F.lit("&nbsp;"), F.lit(" "))
 
 
-def split_sentences(c: Column) -> Column:
-    """Parts at line feeds, bullets, and white space between a full stop and a capital letter; cleaned, distinct."""
-    marked = F.regexp_replace(c, r"(\.)\s+([A-ZÆØÅ])", "$1\n$2")
-    parts = F.transform(F.split(marked, r"\n+|•"), clean_text)
+def split_sentences(c: Column, bullets: bool = True) -> Column:
+    """Parts at line feeds, bullets, and white space between a full stop and a capital letter; cleaned, distinct.
+
+    White space is collapsed once in the whole text, so that parts only need trimming.
+    """
+    marked = F.regexp_replace(F.regexp_replace(c, r"(\.)\s+([A-ZÆØÅ])", "$1\n$2"), _IN_LINE, " ")
+    parts = F.transform(F.split(marked, r"\n+|•" if bullets else r"\n+"), F.trim)
     return F.array_distinct(F.filter(parts, lambda x: x != ""))
 
 
@@ -45,25 +60,29 @@ def domain_language(domain: Column) -> Column:
     return out
 
 
-def text_language(text: Column, preferred: Column | None = None) -> Column:
-    """Struct (language, confidence, score) by keywords; null under 20 characters or a score of 2.
+def normal_text(c: Column) -> Column:
+    """Lower case with white space collapsed: what keywords are counted in. Give it a column of its own before counting."""
+    return F.lower(clean_text(c))
 
-    The highest score wins, then the preferred language, then the alphabet.
-    """
-    t = F.lower(clean_text(text))
+
+def substring_count(text: Column, word: str) -> Column:
+    """How often a fixed string occurs, without overlaps; texts that don't hold it aren't copied."""
+    left = F.length(F.replace(text, F.lit(word), F.lit("")))
+    return F.when(F.contains(text, F.lit(word)), ((F.length(text) - left) / F.lit(len(word))).cast("int")).otherwise(0)
+
+
+def language_scores(t: Column, preferred: Column | None = None) -> Column:
+    """Keyword counts of a ``normal_text`` by language, the best one least: the highest count, then the preferred language, then the alphabet."""
     preferred = F.lit(None).cast("string") if preferred is None else preferred
-    scores = [
-        F.struct(
-            (-sum(((F.length(t) - F.length(F.replace(t, F.lit(k), F.lit("")))) / F.lit(len(k)) for k in words), F.lit(0.0)).cast("int")).alias("minus"),
-            F.when(preferred == lang, 0).otherwise(1).alias("other"),
-            F.lit(lang).alias("language"),
-        )
-        for lang, words in C.TEXT_KEYWORDS.items()
-    ]
-    best = F.array_min(F.array(*scores))
-    score = -best["minus"]
-    found = F.struct(best["language"].alias("language"), F.least(F.lit(0.55) + F.lit(0.05) * score, F.lit(0.85)).alias("confidence"), score.alias("score"))
-    return F.when((F.length(t) >= 20) & (score >= 2), found)
+    scores = [F.struct((-reduce(Column.__add__, (substring_count(t, k) for k in words))).alias("minus"), F.when(preferred == lang, 0).otherwise(1).alias("other"), F.lit(lang).alias("language")) for lang, words in C.TEXT_KEYWORDS.items()]
+    return F.when(F.length(t) >= 20, F.array(*scores))
+
+
+def text_language(scores: Column) -> Column:
+    """Struct (language, confidence, score) of ``language_scores``, which want a column of their own; null under a score of 2 or 20 characters."""
+    best = F.array_min(scores)
+    found = F.struct(best["language"].alias("language"), F.least(F.lit(0.55) - F.lit(0.05) * best["minus"], F.lit(0.85)).alias("confidence"), (-best["minus"]).alias("score"))
+    return F.when(best["minus"] <= -2, found)
 
 
 def html_language(html: Column) -> Column:

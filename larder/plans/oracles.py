@@ -70,7 +70,7 @@ _H = "(regexp_extract(html, '(?i)<html[^>]*\\blang=[\"'']?([A-Za-z_-]+)', 1))"
 _KEYWORDS = ", ".join(f"('{lang}', {words})" for lang, words in C.TEXT_KEYWORDS.items())
 _EVENTS = "ev AS (SELECT 'd' || (user_id % 20) AS domain, CASE event_type WHEN 'error' THEN 'fallback' WHEN 'signup' THEN 'skip' ELSE 'page' END AS kind, CASE WHEN event_id % 4 = 0 THEN 'playwright' ELSE 'cheerio' END AS mode, event_id % 3 AS recipes FROM events)"
 _RUNS = "runs AS (SELECT strftime(ts, '%Y-%m-%d') AS run, count(*) AS pages, count(*) FILTER (event_type = 'purchase') AS recipes, max(ts) AS finished_at FROM events GROUP BY 1)"
-_ASKED = f"asked AS (SELECT DISTINCT {canon('url')} AS canonical_url FROM pages WHERE page_id % 2 = 0), fresh AS (SELECT {canon('url')} AS canonical_url FROM pages WHERE TIMESTAMP '2024-01-01' + to_days(cast(page_id % 60 AS INTEGER)) >= TIMESTAMP '2024-02-20' - INTERVAL 30 DAY)"
+_ASKED = f"asked AS (SELECT DISTINCT {canon('url')} AS canonical_url FROM pages), fresh AS (SELECT {canon('url')} AS canonical_url FROM pages WHERE TIMESTAMP '2024-01-01' + to_days(cast(page_id % 60 AS INTEGER)) >= TIMESTAMP '2024-02-20' - INTERVAL 30 DAY)"
 _STARTS = ", ".join(f"('{d}', {['https://' + d] + [u]})" for d, _, u in C.SEEDS)
 _MAPS = ", ".join(f"('{d}', {list(dict.fromkeys(x for x in (s, f'https://{d}/sitemap.xml') if x))})" for d, s, _ in C.SEEDS)
 _BREAKS = "replace(regexp_replace(regexp_replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '(?i)</(?:p|div|li|h[1-6]|tr|section|article)>', chr(10), 'g'), '<[^>]+>', '', 'g'), '&nbsp;', ' ')"
@@ -104,7 +104,7 @@ ORACLES = {
     "request_label": f"SELECT page_id, CASE WHEN {path('url')} = '/' THEN 'seed-root' WHEN page_id % 3 = 0 THEN 'sitemap' WHEN page_id % 5 = 0 THEN 'playwright-fallback' ELSE 'discovered' END AS label FROM pages",
     "blocked_reasons": f"WITH {ADMITTED} SELECT domain, reason, count(*) AS n FROM (SELECT domain, unnest(string_split(reasons, ',')) AS reason FROM adm WHERE NOT allowed) GROUP BY ALL",
     "off_domain": f"WITH {ADMITTED} SELECT source_domain, count(*) AS admissions, array_to_string(list_sort(list(DISTINCT domain)), ',') AS new_domains FROM adm WHERE allowed AND cross_domain GROUP BY source_domain",
-    "domain_caps": f"WITH {LINKS}, f AS (SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY page_id, pos) AS rn FROM c), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY page_id, pos) AS k FROM f WHERE rn = 1) SELECT canonical_url, domain FROM r WHERE k <= 3 ORDER BY page_id, pos LIMIT 200",
+    "domain_caps": f"WITH {LINKS}, f AS (SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY page_id, pos) AS rn FROM c), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY page_id, pos) AS k FROM f WHERE rn = 1) SELECT canonical_url, domain FROM r WHERE k <= {C.DEFAULT.pages_per_domain} ORDER BY page_id, pos LIMIT {C.DEFAULT.global_queue}",
     "fallback_reason": f"SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN length(text) < {C.MIN_BODY_TEXT_LENGTH} THEN 'thin-content' WHEN {' OR '.join(f'''contains(text, '{m}')''' for m in C.JS_MARKERS)} THEN 'js-markers' WHEN doc_id % 3 = 0 THEN 'sitemap-page' WHEN doc_id % 4 >= 2 THEN 'high-value-discovery' END AS reason FROM documents",
     "fresh_semi": f"WITH {_ASKED} SELECT canonical_url FROM asked WHERE canonical_url IN (SELECT canonical_url FROM fresh)",
     "fresh_anti": f"WITH {_ASKED} SELECT canonical_url FROM asked WHERE canonical_url NOT IN (SELECT canonical_url FROM fresh)",

@@ -54,7 +54,7 @@ def page_language_meta(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_language(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "documents").withColumn("l", T.text_language(F.col("text")))
+    rows = read(spark, d, "documents").select("doc_id", T.normal_text(F.col("text")).alias("t")).select("doc_id", T.language_scores(F.col("t")).alias("scores")).withColumn("l", T.text_language(F.col("scores")))
     return rows.select("doc_id", F.coalesce("l.language", F.lit("und")).alias("language"), F.round(F.coalesce("l.confidence", F.lit(0.0)), 4).alias("confidence"), F.coalesce("l.score", F.lit(0)).alias("score"))
 
 
@@ -73,8 +73,8 @@ def text_with_breaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentence_split(spark: SparkSession, d: str) -> DataFrame:
-    parts = T.split_sentences(F.col("text"))
-    return read(spark, d, "documents").select("doc_id", F.size(parts).cast("long").alias("n_parts"), F.sha2(F.array_join(F.array_sort(parts), "|"), 256).alias("parts_sha"))
+    parts = F.col("parts")
+    return read(spark, d, "documents").select("doc_id", T.split_sentences(F.col("text")).alias("parts")).select("doc_id", F.size(parts).cast("long").alias("n_parts"), F.sha2(F.array_join(F.array_sort(parts), "|"), 256).alias("parts_sha"))
 
 
 def title_heuristic(spark: SparkSession, d: str) -> DataFrame:
@@ -151,7 +151,7 @@ def off_domain(spark: SparkSession, d: str) -> DataFrame:
 
 def domain_caps(spark: SparkSession, d: str) -> DataFrame:
     rows = L.first_seen(candidates(spark, d), "page_id", "pos")
-    return L.cap(rows, 3, 200, "page_id", "pos").select("canonical_url", "domain")
+    return L.cap(rows, C.DEFAULT.pages_per_domain, C.DEFAULT.global_queue, "page_id", "pos").select("canonical_url", "domain")
 
 
 def fallback_reason(spark: SparkSession, d: str) -> DataFrame:
@@ -169,12 +169,12 @@ def _cutoff() -> Column:
 
 
 def fresh_semi(spark: SparkSession, d: str) -> DataFrame:
-    asked = read(spark, d, "pages").where("page_id % 2 = 0").select(U.canonicalize(F.col("url")).alias("canonical_url")).distinct()
+    asked = read(spark, d, "pages").select(U.canonicalize(F.col("url")).alias("canonical_url")).distinct()
     return S.fresh(asked, _fetched(spark, d), _cutoff())
 
 
 def fresh_anti(spark: SparkSession, d: str) -> DataFrame:
-    asked = read(spark, d, "pages").where("page_id % 2 = 0").select(U.canonicalize(F.col("url")).alias("canonical_url")).distinct()
+    asked = read(spark, d, "pages").select(U.canonicalize(F.col("url")).alias("canonical_url")).distinct()
     return S.stale(asked, _fetched(spark, d), _cutoff())
 
 
