@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+# Fixed values, from here to the end.
 EXTRACTOR_VERSION = "1.0.0"
 RECRAWL_TTL_DAYS = 30
 RUN_RETENTION_DAYS = 90
@@ -22,7 +23,7 @@ class Limits:
 DEFAULT = Limits()
 HIGH_COVERAGE = Limits(20_000, 4, 2, 1, 250_000)
 
-# Fixed values, from here to the end. Regular expressions on the path of a URL; all but DATE_PATH ignore case.
+# Regular expressions on the path of a URL; all but DATE_PATH ignore case.
 RECIPE_PATHS = ["/opskrift/", "/recipe/", "/opskrifter/", "/recipes/", "/bagning/", "/mad/", "/kog/", "/mat/", "/recept/", "/rezepte?/", "/oppskrift/", "/oppskrifter/", "/middagsretter?/", "/aftensmad/", "/desserts?/", "/kuchen/"]
 HARD_DENY_PATHS = ["/search(?:$|[/?])", "/soeg(?:$|[/?])", "/sog(?:$|[/?])", "/login(?:$|[/?])", "/log-ind(?:$|[/?])", "/cart(?:$|[/?])", "/kurv(?:$|[/?])", "/print/", "/feed/", "/wp-json/", "/api(?:$|[/?])", "/webapi(?:$|[/?])", "/account(?:$|[/?])", "/konto(?:$|[/?])", "/checkout(?:$|[/?])", "/betaling(?:$|[/?])", "/privacy(?:$|[/?])", "/cookie(?:$|[/?])"]
 SOFT_PATHS = ["/tag/", "/tags/", "/kategori/", "/kategorier/", "/category/", "/categories/", "/page/[0-9]+", "/side/[0-9]+"]
@@ -41,6 +42,13 @@ TEXT_KEYWORDS = {
 }
 INGREDIENT_KEYWORDS = ["ingredienser", "ingrediens", "ingredients", "ingredient", "råvaror", "zutaten"]
 INSTRUCTION_KEYWORDS = ["fremgangsmaade", "fremgangsmåde", "tilberedning", "sådan gør du", "instructions", "method", "steps", "gör så här", "saadan goer du", "sadan gor du", "fremgangsmåte", "oppskrift", "zubereitung", "anleitung", "zubereiten"]
+#: Labels that times and yields stand next to, by field.
+VALUE_KEYWORDS = {
+    "prepTime": ["forberedelsestid", "prep time", "preparation time", "förberedelsetid", "vorbereitungszeit"],
+    "cookTime": ["tilberedningstid", "cook time", "cooking time", "tillagningstid", "steketid", "kochzeit", "backzeit"],
+    "totalTime": ["samlet tid", "total time", "tid i alt", "total tid", "gesamtdauer", "gesamtzeit"],
+    "recipeYield": ["portioner", "serves", "serveringer", "udbytte", "portionen", "porsjoner", "antal portioner"],
+}
 #: (domain, sitemap, start URL) of the trusted seeds; none needs a browser, all respect robots.txt.
 SEEDS = [
     ("arla.dk", "https://arla.dk/sitemap.xml", "https://arla.dk/opskrifter/"),

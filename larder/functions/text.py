@@ -102,3 +102,47 @@ def has_recipe_anchor(text: Column) -> Column:
 
 def percent(x: Column) -> Column:
     return F.format_string("%.1f%%", x * 100)
+
+
+def delta(x: Column) -> Column:
+    """A whole number with a plus where it is over zero."""
+    return F.concat(F.when(x > 0, "+").otherwise(""), x.cast("string"))
+
+
+def percent_delta(x: Column) -> Column:
+    """A difference of shares in percentage points."""
+    return F.concat(F.when(x > 0, "+").otherwise(""), F.format_string("%.1fpp", x * 100))
+
+
+def pad_left(x: Column, width: int) -> Column:
+    """Blanks in front up to the width; longer texts aren't cut."""
+    s = x.cast("string")
+    return F.when(F.length(s) < width, F.lpad(s, width, " ")).otherwise(s)
+
+
+def map_entries(m: Column, sign: str = "=") -> Column:
+    """``key=value`` pairs of a map in the order of its keys."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], F.lit(sign), e["value"].cast("string"))), ", ")
+
+
+def mib(x: Column) -> Column:
+    """Bytes in MiB, one decimal."""
+    return F.round(x / 1048576, 1)
+
+
+def squashed(message: Column, most: int = 300) -> Column:
+    """An error message on one line, cut."""
+    return F.substring(F.regexp_replace(message, WHITE, " "), 1, most)
+
+
+def first_signals(signals: Column, most: int = 8) -> Column:
+    """The first signals, and how many more there are; ``none`` for none."""
+    more = F.when(F.size(signals) > most, F.concat(F.lit("|+"), (F.size(signals) - most).cast("string"))).otherwise("")
+    return F.when(F.size(signals) == 0, "none").otherwise(F.concat(F.array_join(F.slice(signals, 1, most), "|"), more))
+
+
+def process_row(line: Column) -> Column:
+    """Struct (ppid, pid, rss_bytes, command) of a line ``ppid pid rss-in-KiB command``; null if it is none."""
+    pattern = r"^(\d+)\s+(\d+)\s+(\d+)\s+(.+)$"
+    part = lambda i: F.regexp_extract(line, pattern, i)
+    return F.when(F.rlike(line, F.lit(pattern)), F.struct(part(1).cast("long").alias("ppid"), part(2).cast("long").alias("pid"), (part(3).cast("long") * 1024).alias("rss_bytes"), part(4).alias("command")))

@@ -53,16 +53,28 @@ def canonicalize(url: Column) -> Column:
     return F.when(is_http(url) & (host != ""), F.concat(scheme, F.lit("://"), host, p, F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("?"), rest))))
 
 
+def without_dots(url: Column) -> Column:
+    """The URL with ``.`` and ``..`` segments of its path worked out."""
+    head, path_, tail = (F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)([^?#]*)(.*)$", i) for i in (1, 2, 3))
+    parts = F.split(F.substring(path_, 2, 1 << 30), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, p: F.when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(p == ".", done).otherwise(F.concat(done, F.array(p))))
+    last = F.element_at(parts, -1)
+    whole = F.concat(head, F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""), tail)
+    return F.when(F.rlike(path_, F.lit(r"/\.\.?(?:/|$)")), whole).otherwise(url)
+
+
 def resolve(href: Column, base: Column) -> Column:
-    """An href against the URL of its page; ``.`` and ``..`` segments are left to the caller's data."""
+    """An href, without white space at its ends, against the URL of its page."""
+    href = F.regexp_replace(href, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     folder = F.regexp_extract(path(base), r"^(.*/)", 1)
     bare = F.regexp_extract(base, r"^([^?#]*)", 1)
-    return (
+    return without_dots(
         F.when(F.rlike(href, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
         .when(href.startswith("/"), F.concat(origin, href))
+        .when(href == "", F.regexp_extract(base, r"^([^#]*)", 1))
         .when(href.startswith("?"), F.concat(bare, href))
         .when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href))
         .otherwise(F.concat(origin, folder, href))
@@ -77,3 +89,18 @@ def storage_key(text: Column) -> Column:
     """Runs of unsafe characters become one dash, dashes are collapsed and trimmed once; ``run`` if nothing is left."""
     s = F.regexp_replace(F.regexp_replace(text, "[^a-zA-Z0-9._-]+", "-"), "-+", "-")
     return F.coalesce(F.nullif(F.regexp_replace(s, "^-|-$", ""), F.lit("")), F.lit("run"))
+
+
+def run_id(given: Column, started: Column) -> Column:
+    """The given id without blanks at its ends, or else the start (a timestamp) as ISO time in UTC; as a storage key."""
+    iso = F.date_format(F.to_utc_timestamp(started, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return storage_key(F.coalesce(F.nullif(F.trim(given), F.lit("")), iso))
+
+
+#: Names that belong to one run.
+RUN_NAMES = ["cheerio-queue", "playwright-queue", "link-filter-state", "cheerio-sitemap-request-list", "playwright-sitemap-request-list"]
+
+
+def run_names(run: Column) -> Column:
+    """The names of a run's queues and states, in an array."""
+    return F.transform(F.array(*map(F.lit, RUN_NAMES)), lambda n: F.concat(n, F.lit("-"), storage_key(run)))

@@ -88,6 +88,27 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
+#: Elements whose end is a line's end.
+_LINES = {"p", "div", "li", "tr", "section", "article", *HEADINGS}
+
+
+def text_with_breaks(root: Node) -> str:
+    """Text of the body with line feeds at line breaks and after blocks."""
+    out: list[str] = []
+    stack: list[Node | str] = [next(iter(root.find("body")), root)]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            out.append(node.replace("\xa0", " "))
+        elif node.tag == "br":
+            out.append("\n")
+        else:
+            if node.tag in _LINES:
+                stack.append("\n")
+            stack.extend(reversed(node.children))
+    return "".join(out)
+
+
 _WHITE = re.compile("[" + "".join(re.escape(chr(c)) for c in WHITE_CODES) + "]+")
 
 

@@ -16,12 +16,13 @@ _ATTRIBUTE = rf"[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+"
 _ANCHOR = rf"(?is)<a(?=[\s/])(?:[\s/]*+(?!href[\s=/>]){_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+({_VALUE})(?:[\s/]*+{_ATTRIBUTE})*+[^>]*+>(.*?)(?:</a\s*>|(?=<a[\s/>])|\z)"
 
 
-def explode_links(pages: DataFrame) -> DataFrame:
-    """(page_id, url, pos, href, anchor_text) of every anchor with an href, in the order of the page."""
+def explode_links(pages: DataFrame, *keep: str) -> DataFrame:
+    """(page_id, url, pos, href, anchor_text) of every anchor with an href, in the order of the page, and the columns ``keep``."""
     hrefs, texts = F.regexp_extract_all("html", F.lit(_ANCHOR), 1), F.regexp_extract_all("html", F.lit(_ANCHOR), 2)
     both = F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text")))
-    rows = pages.select("page_id", "url", both.alias("pos", "a"))
-    return rows.select("page_id", "url", "pos", F.regexp_replace("a.href", r"(?s)^([\"'])(.*)\1$", "$2").alias("href"), T.clean_text(F.regexp_replace("a.text", "<[^>]+>", "")).alias("anchor_text"))
+    rows = pages.select("page_id", "url", *keep, both.alias("pos", "a"))
+    href = F.replace(F.regexp_replace("a.href", r"(?s)^([\"'])(.*)\1$", "$2"), F.lit("&amp;"), F.lit("&"))
+    return rows.select("page_id", "url", *keep, "pos", href.alias("href"), T.clean_text(F.regexp_replace("a.text", "<[^>]+>", "")).alias("anchor_text"))
 
 
 def candidates(links: DataFrame) -> DataFrame:
@@ -96,14 +97,16 @@ def follow(allowed: Column, recipe_like: Column, cross: Column, trusted: Column,
     return F.when(~allowed, False).when(recipe_like, True).when(cross, hops < limits.off_domain_hops).when(trusted, hops < limits.trusted_hops).otherwise(False)
 
 
-def cap(rows: DataFrame, per_domain: int, overall: int, *order: str) -> DataFrame:
-    """The first ``per_domain`` rows of each domain, then the first ``overall`` of those.
+def cap(rows: DataFrame, per_domain: int, overall: int, *order: str, queued: DataFrame | None = None) -> DataFrame:
+    """The first ``per_domain`` rows of each domain, less what ``queued(domain, queued)`` has of it already, then the first ``overall`` of those.
 
     Ranking by domain is cut to the cap within each task before the shuffle; the overall cap is a
     take-ordered limit.
     """
-    ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy("domain").orderBy(*order)))
-    return ranked.where(F.col("_rank") <= per_domain).drop("_rank").orderBy(*order).limit(overall)
+    ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy("domain").orderBy(*order))).where(F.col("_rank") <= per_domain)
+    if queued is not None:
+        ranked = ranked.join(queued, "domain", "left").where(F.col("_rank") + F.coalesce("queued", F.lit(0)) <= per_domain).drop("queued")
+    return ranked.drop("_rank").orderBy(*order).limit(overall)
 
 
 def request_label(is_root: Column, from_sitemap: Column, retry: Column) -> Column:

@@ -1,9 +1,10 @@
 """All queries of the crawl engine and the SQL that DuckDB can check them with."""
 
+from larder.plans import fixtures, oracles
 from larder.plans import queries as Q
-from larder.plans.oracles import ORACLES
 
+ORACLES = oracles.ORACLES | fixtures.oracles(oracles.canon, oracles.domain, oracles.LINKS, oracles.path)
 #: Recipe extraction walks trees of HTML and JSON in Python, which SQL can't: fixtures test it.
-QUERIES = {name: getattr(Q, name) for name in [*ORACLES, "extract_recipes"]}
+QUERIES = {name: getattr(Q, name) for name in [*oracles.ORACLES, "extract_recipes"]} | fixtures.QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

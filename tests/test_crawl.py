@@ -77,9 +77,9 @@ def test_follow(spark, allowed, recipe, cross, trusted, hops, wanted):
 def test_language(spark):
     assert one(spark, T.language_code(F.col("c")), c="nb_NO") == "no"
     assert one(spark, T.language_code(F.col("c")), c="fr") is None
-    found = one(spark, T.text_language(F.col("t")), t="Opskrift med ingredienser og fremgangsmåde: portioner")
+    found = one(spark, T.text_language(T.language_scores(T.normal_text(F.col("t")))), t="Opskrift med ingredienser og fremgangsmåde: portioner")
     assert found["language"] == "da" and found["score"] >= 4
-    assert one(spark, T.text_language(F.col("t")), t="recipe") is None
+    assert one(spark, T.text_language(T.language_scores(T.normal_text(F.col("t")))), t="recipe") is None
     assert one(spark, T.domain_language(F.col("d")), d="x.co.uk") == "en"
     assert one(spark, T.html_language(F.col("h")), h='<html lang="da-DK">')["confidence"] == 0.95
 
@@ -87,7 +87,7 @@ def test_language(spark):
 def test_json_ld_cases():
     graph = '<script type="application/ld+json">{"@graph":[{"@type":["Thing","Recipe"],"headline":"Kage","ingredients":["mel","mel"],"recipeInstructions":[{"@type":"HowToSection","itemListElement":[{"text":"Rør. Bag"},{"name":"Spis"}]}],"image":[{"url":"a.jpg"}],}]}</script>'
     recipes, method, confidence, signals = extract.extract(graph, None)
-    assert method == "json-ld" and confidence == 1.0 and "json-repaired" in signals
+    assert method == "json-ld" and confidence == 1.0 and "malformed-json-recovered" in signals
     assert recipes[0]["name"] == "Kage" and recipes[0]["recipeIngredient"] == ["mel"] and recipes[0]["image"] == "a.jpg"
     assert recipes[0]["recipeInstructions"] == ["Rør.", "Bag", "Spis"]
     assert extract.extract('<script type="application/ld+json">{"name":"a &quot;b"}</script>', None)[3][0] == "malformed-json-failed"
@@ -196,3 +196,47 @@ def test_crawl_follows_a_long_chain(spark, tmp_path):
     roots, trusted = spark.createDataFrame([("https://s.dk/recipe/0",)], "url string"), spark.createDataFrame([("s.dk",)], "domain string")
     found = {r[0]: r[1] for r in crawl.crawl(fetches, roots, trusted, str(tmp_path)).collect()}
     assert found == {f"https://s.dk/recipe/{i}": i for i in range(25)}
+
+
+def test_caps_count_what_earlier_rounds_queued(spark, tmp_path):
+    # a chain of recipe pages with many leaves each: the caps hold over all rounds, roots included
+    rows = [(i, f"https://e.dk/recipe/{i}", "".join(f'<a href="/recipe/{i + 1}">n</a><a href="/recipe/leaf{i}-{j}">l</a>' for j in range(3))) for i in range(12)]
+    rows.append((None, "https://e.dk/recipe/12", '<a href="/recipe/end">e</a>'))
+    fetches = spark.createDataFrame(rows, "page_id long, url string, html string")
+    roots = spark.createDataFrame([("https://e.dk/recipe/0",)], "url string")
+    trusted = spark.createDataFrame([("e.dk",)], "domain string")
+    visit = lambda limits, name: crawl.crawl(fetches, roots, trusted, str(tmp_path / name), limits).collect()
+    assert len(visit(C.DEFAULT, "all")) == 13 + 12 * 3 + 1
+    assert len(visit(C.Limits(pages_per_domain=7), "domain")) == 7
+    assert len(visit(C.Limits(global_queue=9), "all-in-all")) == 9
+
+
+def test_kept_html_and_gzip(spark):
+    import gzip
+
+    from larder.operators import pages as P
+
+    rows = spark.createDataFrame([(1, "<p>é</p>", "html-parsing"), (2, "<p>x</p>", "json-ld"), (3, None, "partial")], "id long, html string, method string")
+    found = {r["id"]: r["html"] for r in P.zipped(rows.withColumn("html", P.kept_html(F.col("html"), F.col("method"), F.lit(1.0)))).collect()}
+    assert gzip.decompress(found[1]).decode() == "<p>é</p>" and found[2] is None and found[3] is None
+
+
+def test_robots_and_new_domains(spark):
+    from larder.operators import pages as P
+
+    links = spark.createDataFrame([("a", "e.dk", "https://e.dk/private/x", "e.dk", False), ("b", "e.dk", "https://e.dk/x", "e.dk", False), ("c", "f.dk", "https://f.dk/private/x", "e.dk", True)], "canonical_url string, domain string, absolute_url string, source_domain string, cross_domain boolean")
+    denied = spark.createDataFrame([("e.dk", "/private/")], "domain string, prefix string")
+    assert {r["canonical_url"] for r in P.allowed_by_robots(links, denied).collect()} == {"b", "c"}
+    added = spark.createDataFrame([("b",), ("c",), ("c",)], "canonical_url string")
+    assert [tuple(r) for r in P.added_off_domain(links, added).collect()] == [("e.dk", 1, ["f.dk"])]
+
+
+def test_a_site_can_be_registered():
+    from larder.operators import sites
+
+    site = sites.Site(("new.dk",), lambda root: {"name": sites.first_text(root, "h4")}, 0.1, ("site-specific-new",))
+    sites.register(site)
+    try:
+        assert extract.extract("<h4>Ny</h4>", "www.new.dk")[3] == ["site-specific-new"]
+    finally:
+        sites.SITES.remove(site)
