@@ -170,8 +170,9 @@ def read_payloads(spark: SparkSession, parts: list[tuple[str, int, int]]) -> Dat
 def restore(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     """The headers with the original ``record``: header, payload and end. A payload that isn't there is an error."""
     once = payloads.groupBy("sha").agg(F.first("payload").alias("payload"))
+    # files read in Python look tiny to the planner, so it is told not to broadcast them
     payload = F.coalesce("payload", F.raise_error(F.concat(F.lit("no payload has the digest "), "sha")))
-    return headers.join(once, "sha", "left").withColumn("record", F.concat("header", payload, F.lit(_END))).drop("payload", "sha")
+    return headers.join(once.hint("merge"), "sha", "left").withColumn("record", F.concat("header", payload, F.lit(_END))).drop("payload", "sha")
 
 
 def verified(records: DataFrame) -> DataFrame:
