@@ -41,7 +41,7 @@ BUCKETS = 1 << 20
 LETTERS = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 PREFIXES = (4, 5, 6, 7)
 #: Marginals are joined by the sum of these powers; LEAST is added to it before its logarithm is taken.
-POWER, LEAST = 4, 1e-9
+POWER, LEAST = 8, 1e-9
 #: A toxic feature is in at least so many times more toxic documents than its share of clean ones makes likely.
 RATIO = 4.0
 #: Chosen features whose documents another one must share to be added.
