@@ -45,7 +45,7 @@ POWER, LEAST = 8, 1e-9
 #: A toxic feature is in at least so many times more toxic documents than its share of clean ones makes likely.
 RATIO = 4.0
 #: Chosen features whose documents another one must share to be added.
-SEVERAL = 3
+SEVERAL = 4
 BLOCK = 128
 
 
