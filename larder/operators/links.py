@@ -97,6 +97,11 @@ def follow(allowed: Column, recipe_like: Column, cross: Column, trusted: Column,
     return F.when(~allowed, False).when(recipe_like, True).when(cross, hops < limits.off_domain_hops).when(trusted, hops < limits.trusted_hops).otherwise(False)
 
 
+def follow_legacy(recipe_like: Column, from_recipe: Column, hops: Column, limits: C.Limits = C.DEFAULT) -> Column:
+    """The older rule: recipe pages, and what they link to within the hops off their domain."""
+    return recipe_like | (from_recipe & (hops < limits.off_domain_hops))
+
+
 def cap(rows: DataFrame, per_domain: int, overall: int, *order: str, queued: DataFrame | None = None) -> DataFrame:
     """The first ``per_domain`` rows of each domain, less what ``queued(domain, queued)`` has of it already, then the first ``overall`` of those.
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from larder.functions.text import percent
+from larder.functions.url import path
 
 
 def domain_metrics(events: DataFrame) -> DataFrame:
@@ -63,3 +66,24 @@ def every_nth(requests: DataFrame, n: int = 25) -> DataFrame:
     """The first request of each domain and every n-th."""
     rn = F.row_number().over(W.partitionBy("domain").orderBy("ts", "id"))
     return requests.withColumn("rn", rn).where((F.col("rn") == 1) | (F.col("rn") % n == 0))
+
+
+def latest_k(given: str | None, default: int = 10) -> int:
+    """How many runs a report shows: the whole number a text begins with; the default for none, or one under 1."""
+    found = re.match(r"\s*[+-]?\d+", given or "")
+    return int(found[0]) if found and int(found[0]) > 0 else default
+
+
+def top(rows: DataFrame, by: str, key: str, n: int) -> DataFrame:
+    """The n rows with the highest value, ties by key: taken in each task before they meet."""
+    return rows.orderBy(F.desc(by), key).limit(n)
+
+
+def map_total(counts: Column) -> Column:
+    """Sum of the values of a map."""
+    return F.aggregate(F.coalesce(F.map_values(counts), F.array().cast("array<bigint>")), F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))
+
+
+def hits_by_path(requests: DataFrame, url: str = "url") -> DataFrame:
+    """Requests of each path."""
+    return requests.groupBy(path(F.col(url)).alias("path")).agg(F.count("*").alias("hits"))

@@ -42,3 +42,29 @@ def retained(runs: DataFrame, now: Column, days: int) -> DataFrame:
 
 def recrawl_cutoff(now: Column, days: int) -> Column:
     return now - F.make_interval(days=F.lit(days))
+
+
+def page_at(pages: DataFrame, url: Column, key: str = "canonical_url") -> DataFrame:
+    """The row of one URL: an equality that reaches the scan."""
+    return pages.where(F.col(key) == url)
+
+
+def fetched_since(pages: DataFrame, url: Column, cutoff: Column, key: str = "canonical_url") -> bool:
+    """Whether one URL was fetched at or after the cutoff."""
+    return not page_at(pages, url, key).where(F.col("fetched_at") >= cutoff).isEmpty()
+
+
+def append_runs(runs: DataFrame, path: str) -> None:
+    """Add finished runs to the table of runs."""
+    runs.write.mode("append").parquet(path)
+
+
+def without(rows: DataFrame, known: DataFrame, key: str = "domain") -> DataFrame:
+    """Rows whose key isn't among the known ones, nulls among them."""
+    return rows.join(known.select(key).distinct(), key, "left_anti")
+
+
+def common(left: Column, right: Column) -> Column:
+    """What two lists have in common, in the order of the first; a null list is empty."""
+    empty = F.array().cast("array<string>")
+    return F.array_intersect(F.coalesce(left, empty), F.coalesce(right, empty))

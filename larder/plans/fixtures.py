@@ -16,7 +16,9 @@ from larder.functions import url as U
 from larder.operators import extract as X
 from larder.operators import language as LG
 from larder.operators import links as L
+from larder.operators import metrics as M
 from larder.operators import pages as P
+from larder.operators import store as S
 from larder.sources import seeds as SD
 
 _SPISBEDRE = {
@@ -170,6 +172,33 @@ def request_diagnostics(spark: SparkSession, d: str) -> DataFrame:
     return P.diagnostics(rows).withColumn("mean_millis", F.round("mean_millis", 4))
 
 
+def sitemap_roots(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.createDataFrame([(1, "www.E.dk", ["https://maps.e.dk/a.xml", "https://e.dk/b", "nonsense"]), (2, "f.dk", None)], "id long, domain string, configured array<string>")
+    return rows.select("id", F.array_join(SD.sitemap_roots(F.col("domain"), F.col("configured")), " ").alias("roots"))
+
+
+def page_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Pages by path, without those of known paths, and whether the older rule follows them."""
+    hits = M.hits_by_path(spark.read.parquet(f"{d}/pages.parquet"))
+    new = S.without(hits, spark.createDataFrame([("/",)], "path string"), "path")
+    older = L.follow_legacy(F.col("path").contains("1"), F.col("hits") > 1, F.pmod("hits", F.lit(3)))
+    return new.select("path", "hits", older.alias("older"))
+
+
+def top_suppliers(spark: SparkSession, d: str) -> DataFrame:
+    """The three largest of a list of processes, as suppliers with their balance for the size."""
+    rows = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").alias("pid"), F.col("s_acctbal").alias("rss"))
+    return M.top(rows, "rss", "pid", 3)
+
+
+def role_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Characters by conversation from a map by role, and the roles that are of the usual ones."""
+    said = spark.read.parquet(f"{d}/conversations.parquet").where("role is not null").groupBy("conv_id", "role").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).alias("n"))
+    maps = said.groupBy("conv_id").agg(F.map_from_entries(F.collect_list(F.struct("role", "n"))).alias("m"))
+    usual = F.array(F.lit("assistant"), F.lit("user"))
+    return maps.select("conv_id", M.map_total(F.col("m")).alias("total"), F.array_join(S.common(usual, F.map_keys("m")), ",").alias("usual"))
+
+
 def _formats_sql() -> str:
     names = lambda run: " ".join(f"{n}-{run}" for n in U.RUN_NAMES)
     iso = names("2026-01-02T03-04-05.678Z")
@@ -199,8 +228,12 @@ def oracles(canon, domain, links: str, path) -> dict[str, str]:
         "page_rows": f"SELECT page_id, {canon('url')} AS canonical_url, CASE WHEN length(html) > 1000 THEN url || ' ' || url || '?moved=1' END AS redirects, cast(length({body}) AS INTEGER) AS body_length, NOT contains(html, 'ld+json') AS kept FROM pages",
         "failed_pages": "SELECT 'https://d' || user_id || '.example/p/' || event_id AS canonical_url, 'd' || user_id || '.example' AS domain, 0 AS http_status, 'failed' AS extraction_method, 'und' AS language, 'sitemap' AS discovery_source, 'language-undetected' AS language_signals, 0::BIGINT AS n_signals FROM events WHERE event_type = 'error'",
         "routed_links": f"WITH {links}, s AS (SELECT *, CASE WHEN pos = 0 THEN 'playwright-fallback' WHEN {path('absolute_url')} = '/' THEN 'seed-root' WHEN pos = 1 THEN 'sitemap' WHEN pos = 2 THEN 'playwright-fallback' ELSE 'discovered' END AS source FROM c) SELECT domain, CASE WHEN domain = 'example.com' THEN 'playwright' ELSE 'cheerio' END AS queue, CASE WHEN domain = 'example.com' THEN 'discovery' ELSE 'trusted' END AS role, source, count(*) AS n FROM s GROUP BY ALL",
+        "sitemap_roots": _values([(1, "https://e.dk https://maps.e.dk"), (2, "https://f.dk")], "id, roots"),
+        "page_paths": f"SELECT path, hits, contains(path, '1') OR (hits > 1 AND hits % 3 < {C.DEFAULT.off_domain_hops}) AS older FROM (SELECT {path('url')} AS path, count(*) AS hits FROM pages GROUP BY 1) WHERE path <> '/'",
+        "top_suppliers": "SELECT s_suppkey AS pid, s_acctbal AS rss FROM supplier ORDER BY rss DESC, pid LIMIT 3",
+        "role_totals": "SELECT conv_id, cast(sum(length(coalesce(text, ''))) AS BIGINT) AS total, CASE WHEN bool_or(role = 'assistant') AND bool_or(role = 'user') THEN 'assistant,user' WHEN bool_or(role = 'assistant') THEN 'assistant' WHEN bool_or(role = 'user') THEN 'user' ELSE '' END AS usual FROM conversations WHERE role IS NOT NULL GROUP BY conv_id",
         "request_diagnostics": "WITH e AS (SELECT 'd' || (user_id % 20) AS domain, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'retried' WHEN 'purchase' THEN 'finished' ELSE 'started' END AS kind, event_id FROM events) SELECT domain, count(*) FILTER (kind = 'started') AS started, count(*) FILTER (kind = 'finished') AS finished, count(*) FILTER (kind = 'failed') AS failed, count(*) FILTER (kind = 'retried') AS retried, 2 * count(*) FILTER (kind = 'finished') AS recipes, cast(coalesce(sum(event_id) FILTER (kind = 'finished'), 0) AS BIGINT) AS millis, coalesce(max(event_id) FILTER (kind = 'finished'), 0) AS max_millis, round(coalesce(avg(event_id) FILTER (kind = 'finished'), 0), 4) AS mean_millis FROM e GROUP BY domain",
     }
 
 
-QUERIES = {f.__name__: f for f in (fixture_extract, fixture_language, fixture_links, fixture_eligibility, fixture_formats, page_rows, failed_pages, routed_links, request_diagnostics)}
+QUERIES = {f.__name__: f for f in (fixture_extract, fixture_language, fixture_links, fixture_eligibility, fixture_formats, page_rows, failed_pages, routed_links, request_diagnostics, sitemap_roots, page_paths, top_suppliers, role_totals)}

@@ -40,3 +40,14 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def should_respect_robots(rows: DataFrame) -> DataFrame:
     """One row: whether all seeds respect robots.txt; false without seeds. And the sum of the page caps."""
     return rows.agg(((F.count("*") > 0) & F.coalesce(F.bool_and("respect_robots"), F.lit(False))).alias("respect_robots"), F.coalesce(F.sum("max_pages"), F.lit(0)).cast("long").alias("max_requests"))
+
+
+def sitemap_roots(domain: Column, configured: Column) -> Column:
+    """Where sitemaps are probed for: the domain's root, then the origins of its configured sitemaps; what is no URL is left out."""
+    origins = F.transform(F.coalesce(configured, F.array().cast("array<string>")), lambda u: F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)))
+    return F.array_distinct(F.concat(F.array(F.concat(F.lit("https://"), U.normalize_domain(domain))), F.filter(origins, lambda u: u != "")))
+
+
+def sitemap_index(spark: SparkSession, path: str) -> DataFrame:
+    """(url) of the sitemaps that index files list; files may be gzipped, as Spark reads them by their ending."""
+    return spark.read.schema("loc string, lastmod string").option("rowTag", "sitemap").option("mode", "DROPMALFORMED").format("xml").load(path).where("loc is not null").select(F.trim("loc").alias("url"))

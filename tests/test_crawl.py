@@ -240,3 +240,23 @@ def test_a_site_can_be_registered():
         assert extract.extract("<h4>Ny</h4>", "www.new.dk")[3] == ["site-specific-new"]
     finally:
         sites.SITES.remove(site)
+
+
+def test_store_lookups_and_runs(spark, tmp_path):
+    pages = spark.createDataFrame([("https://e.dk/a", datetime(2026, 1, 2)), ("https://e.dk/b", datetime(2026, 1, 1))], "canonical_url string, fetched_at timestamp")
+    cutoff = F.lit("2026-01-02").cast("timestamp")
+    assert S.fetched_since(pages, F.lit("https://e.dk/a"), cutoff) and not S.fetched_since(pages, F.lit("https://e.dk/b"), cutoff) and not S.fetched_since(pages, F.lit("x"), cutoff)
+    for run in ("r1", "r2"):
+        S.append_runs(spark.createDataFrame([(run,)], "run string"), str(tmp_path / "runs"))
+    assert {r["run"] for r in spark.read.parquet(str(tmp_path / "runs")).collect()} == {"r1", "r2"}
+    assert [M.latest_k(x) for x in (None, "", "3", "7 runs", "0", "-2", "x")] == [10, 10, 3, 7, 10, 10, 10]
+
+
+def test_sitemap_index_and_gzip(spark, tmp_path):
+    import gzip
+
+    index = "<sitemapindex><sitemap><loc> https://e.dk/1.xml </loc></sitemap><sitemap><lastmod>2026</lastmod></sitemap><sitemap><loc>https://e.dk/2.xml.gz</loc></sitemap></sitemapindex>"
+    (tmp_path / "index.xml.gz").write_bytes(gzip.compress(index.encode()))
+    (tmp_path / "urls.xml.gz").write_bytes(gzip.compress(b"<urlset><url><loc>https://e.dk/a</loc></url></urlset>"))
+    assert {r["url"] for r in SD.sitemap_index(spark, str(tmp_path / "index.xml.gz")).collect()} == {"https://e.dk/1.xml", "https://e.dk/2.xml.gz"}
+    assert [r["url"] for r in SD.sitemap(spark, str(tmp_path / "urls.xml.gz")).collect()] == ["https://e.dk/a"]
