@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that DuckDB can check them with."""
 
-from larder.llm import chat, decontam, langid, licences, packing, simhash, tokens, topk, toxicity, warc
+from larder.llm import bpe, chat, decontam, langid, licences, packing, simhash, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -14,6 +14,7 @@ QUERIES = {
     "chat_parts": chat.chat_parts,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_language": langid.op10_language,
+    "op12_bpe": bpe.op12_bpe,
 }
 
 ORACLES = {
