@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that DuckDB can check them with."""
 
-from larder.llm import bpe, chat, decontam, langid, licences, packing, simhash, spelling, tokens, topk, toxicity, warc
+from larder.llm import bpe, chat, decontam, langid, licences, merkle, packing, simhash, spelling, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_language": langid.op10_language,
     "op11_spelling": spelling.op11_spelling,
     "op12_bpe": bpe.op12_bpe,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 ORACLES = {
