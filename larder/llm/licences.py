@@ -164,8 +164,11 @@ NUMBERS = {name.replace(" ", "_"): i for i, name in enumerate(SENTENCES)}
 SILENT = ("copy-at", "apache-url")
 GAP = "."
 #: What stands before the text of a line: marks of comments, then a list number or bullet.
-_FRONT = r"(^|\n)[ \t]*(?:(?:/\*+|\*+/|\*+|//+!?|#+!?|--+>?|;+|%+|<!--+|>+)[ \t]*)*(?:(?:\(?(?:[0-9][0-9]?|[a-zA-Z])[.)]|[-•])[ \t]+)?"
-_END = r"[.!?][)\"']*[ \t\r\n]+|[ \t\r]*\n[ \t\r]*\n\s*"
+_FRONT = r"(^|\n)[ \t]*(?:(?:/\*+|\*+/|\*+|//+!?|#+!?|--+>?|;+|%+|<!--+|>+)[ \t]*)*{}(?:(?:\(?(?:[0-9][0-9]?|[a-zA-Z])[.)]|[-•])[ \t]+)?"
+_END = r"[.!?][)\"']*[ \t\r\n]+|{}[ \t\r]*\n[ \t\r]*\n\s*"
+#: In Java the repeated marks are taken in a loop, without going back, so a line of any number of them needs no stack;
+#: and a blank line is looked for from the first of a run of blanks only. The same matches, in linear time.
+_JAVA_FRONT, _JAVA_END = _FRONT.format("+"), _END.format(r"(?<![ \t\r])")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Every known sentence has one of these; others needn't be searched.
 STEMS = ("licen", "reserved", "redistribut", "permission", "softwa", "apache", "mpl", "warrant", "under")
@@ -246,8 +249,8 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Data
         return F.when(F.size(found) == 0, GAP).when(gapless, ids).otherwise(F.concat(before, gaps, after))
 
     # the full stop at the very end goes by normalising
-    lines = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), _FRONT, "$1")
-    sentences = F.filter(F.split(lines, _END), lambda s: s != "")
+    lines = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), _JAVA_FRONT, "$1")
+    sentences = F.filter(F.split(lines, _JAVA_END), lambda s: s != "")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.transform(sentences, lambda s: F.when(likely(s), normal(s))).alias("sentences"))
     ids = F.transform("sentences", lambda s: F.when(s.isNull(), GAP).otherwise(identified(s)))
     rows = rows.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.array_join(ids, "").alias("ids"))
@@ -266,7 +269,7 @@ def _sql() -> str:
     quote = "'{}'".format
     table = "MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in _known().items()) + "}"
     name = "MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in _rules().items()) + "}"
-    end, front = _END.replace("'", "''"), _FRONT.replace("'", "''")
+    end, front = _END.format("").replace("'", "''"), _FRONT.format("").replace("'", "''")
     return f"""
 WITH k AS (SELECT {table} AS t, {name} AS r),
 s AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '{front}', '\\1', 'g'), '{end}'), lambda x: x <> '') AS s FROM documents),
