@@ -1,10 +1,11 @@
 """Benchmark decontamination by winnowing.
 
 Words are cut out of ASCII-lower-cased text. Word k-grams are hashed; in every run of
-``window - k + 1`` consecutive k-grams the smallest hash is a fingerprint. Two texts that share
-``window`` words share such a run, so they share a fingerprint: joining the fingerprints of
-documents and benchmark misses none. Every join hit is extended word by word, by word hashes; the
-bytes of its words are compared, and each run of at least ``window`` equal words in it counts.
+``window - k + 1`` consecutive k-grams the smallest hash (the rightmost of equal ones) is a fingerprint.
+Two texts that share ``window`` words share such a run, so they share a fingerprint: joining the
+fingerprints of documents and benchmark misses none. Every hit is extended to all windows of the
+document that hold it; these are looked up in the benchmark's windows, and the bytes of their words are
+compared. Equal windows of the benchmark are one entry, so repeated words don't multiply.
 
 Items of fewer words than a window have no run; each is one whole window and is found by the hash
 of its full word sequence.
@@ -31,6 +32,8 @@ from larder.llm.common import Words, arrow, gram_hash, put, slices
 LETTERS = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 #: Benchmark text that is broadcast at once; a larger benchmark is taken in blocks of about this size.
 BLOCK_BYTES = 16 << 20
+#: Windows that are compared at once.
+PAIRS = 1 << 16
 
 REPORT = T.StructType(
     [
@@ -42,41 +45,78 @@ REPORT = T.StructType(
 
 
 def winnow(grams: np.ndarray, row: np.ndarray, run: int) -> np.ndarray:
-    """Positions of the k-grams that are smallest in some run of ``run`` k-grams of one row."""
+    """Positions of the k-grams that are, in some run of ``run`` k-grams of one row, the rightmost of the smallest."""
     n = len(grams) - run + 1
     if n <= 0:
         return np.zeros(0, np.int64)
     least = grams[:n].copy()
     for i in range(1, run):
         np.minimum(least, grams[i : n + i], out=least)
-    whole = row[:n] == row[run - 1 :]
+    open_ = row[:n] == row[run - 1 :]
     chosen = np.zeros(len(grams), bool)
-    for i in range(run):
-        chosen[i : n + i] |= whole & (grams[i : n + i] == least)
+    for i in reversed(range(run)):
+        here = open_ & (grams[i : n + i] == least)
+        chosen[i : n + i] |= here
+        open_ &= ~here
     return np.flatnonzero(chosen)
 
 
+def same_words(a: Words, at: np.ndarray, b: Words, bt: np.ndarray, n: int) -> np.ndarray:
+    """Whether the ``n`` words of ``a`` from each of ``at`` on are those of ``b`` from ``bt`` on, byte by byte; each pair of words is compared once."""
+    out = np.ones(len(at), bool)
+    for low in range(0, len(at), PAIRS):
+        mine = (at[low : low + PAIRS, None] + np.arange(n)).ravel()
+        theirs = (bt[low : low + PAIRS, None] + np.arange(n)).ravel()
+        pairs, back = np.unique(mine << 32 | theirs, return_inverse=True)
+        mine, theirs = pairs >> 32, pairs & 0xFFFFFFFF
+        size = a.ends[mine] - a.starts[mine]
+        same = size == b.ends[theirs] - b.starts[theirs]
+        long = np.flatnonzero(same)
+        ends = np.cumsum(size[long])
+        step = np.arange(ends[-1] if len(ends) else 0)
+        first = np.repeat(ends - size[long], size[long])
+        unlike = a.data[np.repeat(a.starts[mine[long]], size[long]) + step - first] != b.data[np.repeat(b.starts[theirs[long]], size[long]) + step - first]
+        same[long[np.searchsorted(ends, np.flatnonzero(unlike), side="right")]] = False
+        out[low : low + PAIRS] = same[back].reshape(-1, n).all(1)
+    return out
+
+
 class Index:
-    """Fingerprints and words of one block of benchmark items."""
+    """Fingerprints and windows of one block of benchmark items.
+
+    Windows of equal words are one entry with the items that have it, so a hit costs the same however
+    often its words are repeated in the document or in the items.
+    """
 
     def __init__(self, ids: list[str], texts: list[str], window: int, k: int) -> None:
         self.window, self.k, self.run = window, k, window - k + 1
-        words = Words(pa.array(texts, pa.string()), LETTERS)
-        self.ids, self.first, self.hash = ids, words.first, words.hash
-        self.row = words.row
-        self.data, self.starts, self.ends = words.data, words.starts, words.ends
-        hashes, where = self.select(words)
-        order = np.argsort(hashes, kind="stable")
-        self.prints, self.where = hashes[order], where[order]
-        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.ids, self.words = ids, Words(pa.array(texts, pa.string()), LETTERS)
+        words = self.words
+        self.prints = np.unique(self.select(words)[0])
+        self.grams = {}
+        if len(inside := self.inside(words, window)):
+            self.grams[window] = self.entries(inside, window)
         for n in sorted({int(c) for c in words.count if 0 < c < window}):
-            rows = np.flatnonzero(words.count == n)
-            hashes = gram_hash(words.hash, n)[words.first[rows]]
-            order = np.argsort(hashes, kind="stable")
-            self.short[n] = hashes[order], words.first[rows][order]
+            self.grams[n] = self.entries(words.first[np.flatnonzero(words.count == n)], n)
 
-    def word(self, i: int) -> bytes:
-        return self.data[self.starts[i] : self.ends[i]].tobytes()
+    @staticmethod
+    def inside(words: Words, n: int) -> np.ndarray:
+        """Words that begin ``n`` words of one row."""
+        return np.flatnonzero(words.row[: len(words.row) - n + 1] == words.row[n - 1 :]) if len(words.row) >= n else np.zeros(0, np.int64)
+
+    def entries(self, at: np.ndarray, n: int) -> list[tuple]:
+        """Tables of (hash, first position, where its items begin, items): windows of one hash but other words go to a table of their own."""
+        tables = []
+        hashes = gram_hash(self.words.hash, n)[at]
+        while len(at):
+            order = np.argsort(hashes, kind="stable")
+            hashes, at = hashes[order], at[order]
+            key, first, group = np.unique(hashes, return_index=True, return_inverse=True)
+            same = same_words(self.words, at, self.words, at[first][group], n)
+            owned = np.unique(np.stack((group[same], self.words.row[at[same]]), 1), axis=0)
+            tables.append((key, at[first], np.searchsorted(owned[:, 0], np.arange(len(key) + 1)), owned[:, 1]))
+            hashes, at = hashes[~same], at[~same]
+        return tables
 
     def select(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         grams = gram_hash(words.hash, self.k)
@@ -86,69 +126,48 @@ class Index:
         at = winnow(grams, marked, self.run)
         return grams[at], at
 
-    @staticmethod
-    def join(hashes: np.ndarray, at: np.ndarray, table: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low, high = np.searchsorted(table, hashes, "left"), np.searchsorted(table, hashes, "right")
-        n = high - low
-        hit = np.flatnonzero(n)
-        n, low = n[hit], low[hit]
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return np.repeat(at[hit], n), where[np.repeat(low, n) + step]
-
-    def spans(self, words: Words) -> Iterator[tuple[int, int, int]]:
-        """(first document word, end, first item word) of each verified span, word numbers over the batch."""
-        found: set[tuple[int, int, int]] = set()
-        mine, theirs = self.join(*self.select(words), self.prints, self.where)
-        if len(mine):
-            # seeds of one diagonal give the same span: extend the first of each run of seeds only
-            start, item = self.extend(words, mine, theirs, -1)
-            seeds = np.unique(np.stack((start, item), 1), axis=0)
-            end, _ = self.extend(words, seeds[:, 0], seeds[:, 1], 1)
-            found.update((int(s), int(e) + 1, int(i)) for (s, i), e in zip(seeds, end) if e + 1 - s >= self.window)
-        for n, (table, where) in self.short.items():
-            grams = gram_hash(words.hash, n)
-            if len(grams):
-                inside = np.flatnonzero(words.row[: len(grams)] == words.row[n - 1 :])
-                at, item = self.join(grams[inside], inside, table, where)
-                found.update((int(a), int(a) + n, int(i)) for a, i in zip(at, item))
-        equal = []
-        for start, end, item in found:
-            # unequal words with one hash part a span; what is left of it may still hold a window
-            least, low = min(self.window, end - start), start
-            for at in range(start, end + 1):
-                if at == end or words.word(at) != self.word(item + at - start):
-                    if at - low >= least:
-                        equal.append((low, at, item + low - start))
-                    low = at + 1
-        yield from sorted(equal)
-
-    def extend(self, words: Words, mine: np.ndarray, theirs: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
-        """The last pair of positions, going by ``step``, up to which all words are equal."""
-        mine, theirs, live = mine.copy(), theirs.copy(), np.arange(len(mine))
-        while len(live):
-            a, b = mine[live] + step, theirs[live] + step
-            ok = (a >= 0) & (b >= 0) & (a < len(words.hash)) & (b < len(self.hash))
-            live, a, b = live[ok], a[ok], b[ok]
-            ok = (words.row[a] == words.row[mine[live]]) & (self.row[b] == self.row[theirs[live]]) & (words.hash[a] == self.hash[b])
-            live = live[ok]
-            mine[live], theirs[live] = a[ok], b[ok]
-        return mine, theirs
+    def near(self, words: Words) -> np.ndarray:
+        """Beginnings of the windows around the fingerprints that the benchmark has too."""
+        hashes, at = self.select(words)
+        at = at[np.isin(hashes, self.prints)]
+        begins = np.zeros(len(words.row), bool)
+        for i in range(self.run):
+            begins[at[at >= i] - i] = True
+        return self.inside(words, self.window)[begins[self.inside(words, self.window)]]
 
     def report(self, column: pa.Array) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
         """For each text: words, hit spans (merged, in words), sorted distinct items."""
         words = Words(column, LETTERS)
+        covered = np.zeros(len(words.row) + 1, np.int64)
+        owned = [np.zeros((0, 2), np.int64)]
+        for n, tables in self.grams.items():
+            at = self.near(words) if n == self.window else self.inside(words, n)
+            hashes = gram_hash(words.hash, n)[at] if len(at) else np.zeros(0, np.uint64)
+            for key, first, begin, items in tables:
+                place = np.searchsorted(key, hashes)
+                place[place == len(key)] = 0
+                hit = np.flatnonzero(key[place] == hashes)
+                hit = hit[same_words(words, at[hit], self.words, first[place[hit]], n)]
+                np.add.at(covered, at[hit], 1)
+                np.add.at(covered, at[hit] + n, -1)
+                pairs = np.unique(np.stack((words.row[at[hit]], place[hit]), 1), axis=0)
+                many = begin[pairs[:, 1] + 1] - begin[pairs[:, 1]]
+                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                owned.append(np.unique(np.stack((np.repeat(pairs[:, 0], many), items[np.repeat(begin[pairs[:, 1]], many) + step]), 1), axis=0))
+        hit = np.cumsum(covered)[:-1] > 0
+        edge = np.ones(len(hit), bool)
+        edge[1:] = words.row[1:] != words.row[:-1]
+        starts = np.flatnonzero(hit & (edge | ~np.append(False, hit[:-1])))
+        edge = np.append(edge[1:], True)
+        ends = np.flatnonzero(hit & (edge | ~np.append(hit[1:], False))) + 1
         spans: list[list[tuple[int, int]]] = [[] for _ in range(len(column))]
-        items: list[set[str]] = [set() for _ in range(len(column))]
-        for start, end, item in self.spans(words):
-            row = int(words.row[start])
+        for s, e, row in zip(starts.tolist(), ends.tolist(), words.row[starts].tolist()):
             low = int(words.first[row])
-            own = spans[row]
-            if own and start - low <= own[-1][1]:
-                own[-1] = own[-1][0], max(own[-1][1], end - low)
-            else:
-                own.append((start - low, end - low))
-            items[row].add(self.ids[int(self.row[item])])
-        return words.count, spans, [sorted(x) for x in items]
+            spans[row].append((s - low, e - low))
+        found: list[set[str]] = [set() for _ in range(len(column))]
+        for row, item in np.concatenate(owned).tolist():
+            found[row].add(self.ids[item])
+        return words.count, spans, [sorted(x) for x in found]
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str, window: int, k: int) -> Iterator[Index]:
