@@ -57,17 +57,37 @@ def siblings(proof: Column) -> Column:
     return F.array_join(F.transform(proof, lambda s: F.concat(s["left"], s["right"])), "")
 
 
-def prove(leaves: DataFrame, *, group: str, key: list[str], leaf: str, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Of ``leaves`` with a digest column ``leaf``: (their group, key, ``more`` and leaf, ``subroot`` and ``proof``), and (group, subroot) of each group.
+def prove(leaves: DataFrame, *, group: str, key: str, leaf: str, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, str | None]:
+    """Of ``leaves`` with a digest column ``leaf``: (their group, key, ``more`` and leaf, ``subroot``, ``root`` and ``proof``), (group, subroot) of each group, and the root.
 
-    A proof lists, for each level from the leaf to the subroot, what stands left and right of the
-    node in its run, as hex texts. ``key``, then ``leaf``, orders the leaves of a group.
+    A proof lists, for each level from the leaf by the subroot to the root, what stands left and right
+    of the node in its run, as hex texts. ``key``, then ``leaf``, orders the leaves of a group; the
+    subroots, in the order of their groups, are the leaves of one more tree.
     """
+    rows, places, above, roots = _climb(leaves, group, key, leaf, more)
+    spark = leaves.sparkSession
+    subroots = roots.select(F.lit(0).alias("all"), "grp", "node")
+    _, _, over, root = _climb(subroots, "all", "grp", "node", (), whole=True)
+    root = root.first()  # one row
+    root = root and root["node"]
+    # the subroots' proofs are joined to those of the ragged nodes, so no row of a hot group is shuffled
+    over = over.select(F.col("key").alias("_group"), F.col("proof").alias("_over"))
+    above = above.join(over, F.col("grp").eqNullSafe(F.col("_group"))).withColumn("proof", F.concat("proof", "_over")).drop("_group", "_over")
+    folder = scratch(spark, "beside")
+    above.repartition("part").write.partitionBy("part").parquet(folder)
+    proofs = rows.mapPartitionsWithIndex(lambda part, own: _proofs(part, own, places.value, folder))
+    schema = leaves.select(group, key, *more, leaf).schema.add("subroot", "string").add("proof", _SIDES)
+    found = spark.createDataFrame(proofs, schema, verifySchema=False)
+    return found.select(group, key, *more, leaf, "subroot", F.lit(root).cast("string").alias("root"), "proof"), roots.select(F.col("grp").alias(group), F.col("node").alias("subroot")), root
+
+
+def _climb(leaves: DataFrame, group: str, key: str, leaf: str, more: tuple[str, ...], whole: bool = False) -> tuple:
+    """The checkpointed rows, where their partitions begin, the proofs of ragged nodes (``whole``: of all leaves, with their key) up to their group's root, and the roots."""
     spark = leaves.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    columns = [group, *key, *more, leaf]
-    order = [group, *key, leaf, *more]
+    columns = [group, key, *more, leaf]
+    order = [group, key, leaf, *more]
     narrow = leaves.select(*columns)
     count = narrow.count()
     parts = max(1, -(-count // ROWS), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // 1000)))
@@ -81,11 +101,12 @@ def prove(leaves: DataFrame, *, group: str, key: list[str], leaf: str, more: tup
     kind = leaves.schema[group].dataType
     node = spark.createDataFrame(ragged, f"part int, grp {kind.simpleString()}, level int, at long, size long, node string", verifySchema=False)
     above, roots = _finish(put(node, "ragged"))
-    folder = scratch(spark, "beside")
-    above.repartition("part").write.partitionBy("part").parquet(folder)
-    proofs = rows.mapPartitionsWithIndex(lambda part, own: _proofs(part, own, places.value, folder))
-    schema = narrow.schema.add("subroot", "string").add("proof", _SIDES)
-    return spark.createDataFrame(proofs, schema, verifySchema=False), roots.select(F.col("grp").alias(group), F.col("node").alias("subroot"))
+    if whole:
+        folder = scratch(spark, "beside")
+        above.repartition("part").write.partitionBy("part").parquet(folder)
+        proofs = rows.mapPartitionsWithIndex(lambda part, own: _proofs(part, own, places.value, folder))
+        above = spark.createDataFrame(proofs, narrow.select(F.col(group), F.col(key).alias("key"), leaf).schema.add("subroot", "string").add("proof", _SIDES), verifySchema=False)
+    return rows, places, above, roots
 
 
 def _edges(part: int, rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -230,19 +251,9 @@ def _proofs(part: int, rows: Iterator[tuple], places: dict, folder: str) -> Iter
 
 
 def manifest(docs: DataFrame, *, group: str = "source", key: str = "doc_id", columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars", "text")) -> DataFrame:
-    """(key, group, leaf, subroot, root, proof) of each row: ``proof`` leads from the leaf by the subroot of its group to the root."""
+    """(group, key, leaf, subroot, root, proof) of each row: ``proof`` leads from the leaf by the subroot of its group to the root."""
     leaves = docs.select(F.col(group).cast("string").alias("group"), F.col(key).alias("key"), digest(*(F.col(c) for c in columns)).alias("leaf"))
-    return prove_all(leaves)
-
-
-def prove_all(leaves: DataFrame, *more: str) -> DataFrame:
-    """``leaves(group, key, leaf)`` and the columns ``more`` -> (group, key, more, leaf, subroot, root, proof). The subroots are proven as leaves of one group, then joined."""
-    own, roots = prove(leaves, group="group", key=["key"], leaf="leaf", more=more)
-    top, root = prove(roots.select(F.lit(0).alias("all"), "group", F.col("subroot").alias("leaf")), group="all", key=["group"], leaf="leaf")
-    root = (root.first() or {"subroot": None})["subroot"]  # one row
-    top = top.select(F.col("group").alias("_group"), F.col("proof").alias("_top"))
-    joined = own.join(top, F.col("group").eqNullSafe(F.col("_group")))
-    return joined.select("group", "key", *more, "leaf", "subroot", F.lit(root).alias("root"), F.concat("proof", "_top").alias("proof"))
+    return prove(leaves, group="group", key="key", leaf="leaf")[0]
 
 
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,5 +262,5 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, digest(*map(F.col, fields), lower))
     leaves = docs.select(F.col("source").alias("group"), F.col("doc_id").alias("key"), tampered.alias("tampered"), digest(*map(F.col, fields), F.col("text")).alias("leaf"))
-    proven = prove_all(leaves, "tampered").withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    proven = prove(leaves, group="group", key="key", leaf="leaf", more=("tampered",))[0].withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("proof")))
     return proven.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))

@@ -67,7 +67,7 @@ def test_op13_against_brute_force(spark):
     assert {r[-1] for r in found} == {True, False}
 
 
-@pytest.mark.parametrize("rows_each", [3, 37, 100_000])
+@pytest.mark.parametrize("rows_each", [23, 100_000])
 def test_groups_over_many_partitions(spark, monkeypatch, tmp_path, rows_each):
     """A hot group, groups of 1, 16, 17, 256 and 257 rows, null and empty groups, repeated rows, nulls in any column."""
     monkeypatch.setattr(merkle, "ROWS", rows_each)
