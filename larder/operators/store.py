@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,20 +21,28 @@ def stale(candidates: DataFrame, pages: DataFrame, cutoff: Column, key: str = "c
 def upsert(old: DataFrame, new: DataFrame, key: str, order: str, keep_old: tuple[str, ...] = ()) -> DataFrame:
     """Last write per key wins; fields in ``keep_old`` keep their value where no later write has one.
 
-    Aggregates, not windows: a hot key is combined in each task first.
+    Aggregates, not windows: a hot key is combined in each task first. Of writes of one time, the same
+    one wins in every run.
     """
     rows = old.unionByName(new, allowMissingColumns=True)
     fields = [c for c in rows.columns if c != key]
-    last = F.max_by(F.struct(*fields), F.col(order)).alias("r")
-    kept = [F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"kept_{c}") for c in keep_old]
+    time = F.struct(F.col(order), _tie(rows, fields))
+    last = F.max_by(F.struct(*fields), time).alias("r")
+    kept = [F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), time)).alias(f"kept_{c}") for c in keep_old]
     merged = rows.groupBy(key).agg(last, *kept)
     return merged.select(key, *[F.col(f"kept_{c}").alias(c) if c in keep_old else F.col(f"r.{c}").alias(c) for c in fields])
 
 
+def _tie(rows: DataFrame, fields: list[str]) -> Column:
+    """A number by which equal rows are equal, for an order between rows of one time; fields without a hash don't count."""
+    plain = [c for c in fields if not re.search("map<|variant", rows.schema[c].dataType.simpleString())]
+    return F.xxhash64(*plain) if plain else F.lit(0)
+
+
 def keep_best(rows: DataFrame, key: str, confidence: str, arrival: str) -> DataFrame:
-    """One row per key: the highest confidence, the earliest arrival among equals."""
+    """One row per key: the highest confidence, the earliest arrival among equals, the same one among equals in both."""
     rest = [c for c in rows.columns if c != key]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(F.col(confidence), -F.col(arrival))).alias("r")).select(key, "r.*")
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(F.col(confidence), -F.col(arrival), _tie(rows, rest))).alias("r")).select(key, "r.*")
 
 
 def retained(runs: DataFrame, now: Column, days: int) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Incremental ingest: sitemap URLs arrive as files, are de-duplicated, checked and admitted in micro-batches."""
+"""Incremental ingest: sitemap URLs arrive as files, are checked for freshness and queued once, in micro-batches."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from larder.functions import url as U
-from larder.operators.links import first_seen
 from larder.operators.store import stale
+from larder.streaming.queue import queued
+from larder.streaming.runs import ROCKS
 
 
 def url_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -16,23 +17,23 @@ def url_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> Data
     return spark.readStream.schema("url string, seq long").option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def ingest(urls: DataFrame, pages: DataFrame, cutoff, frontier: str, checkpoint: str) -> StreamingQuery:
-    """Append the first occurrence of each fresh canonical URL to the ``frontier`` Parquet folder.
+def ingest(urls: DataFrame, pages: DataFrame, cutoff, frontier: str, checkpoint: str, *, buckets: int = 1024) -> StreamingQuery:
+    """Append each canonical URL that isn't fresh to the ``frontier`` Parquet folder, once, with its first seq.
 
-    The batch id names each batch's folder, so a batch that is run again overwrites what it wrote:
-    the queue has every key once, the first writer's row stays.
+    The queue is the stream's state; the frontier is written only. Batches show up whole.
     """
-
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("canonical_url", U.canonicalize(F.col("url"))).where("canonical_url is not null")
-        new = stale(first_seen(rows, "seq"), pages, cutoff)
-        if number > 0:
-            before = spark.read.schema("canonical_url string, url string, seq long, batch long").parquet(frontier)
-            new = new.join(before.where(F.col("batch") < number).select("canonical_url"), "canonical_url", "left_anti")
-        new.select("canonical_url", "url", "seq").write.mode("overwrite").parquet(f"{frontier}/batch={number}")
-
-    return urls.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    urls.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    rows = urls.select(U.canonicalize(F.col("url")).alias("canonical_url"), "seq", F.lit(False).alias("handled")).where("canonical_url is not null")
+    new = queued(stale(rows, pages, cutoff), buckets=buckets).where("status = 'new'").select("canonical_url", "seq")
+    return new.writeStream.format("parquet").option("path", frontier).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def counted(candidates: DataFrame, pages: DataFrame, cutoff, name: str = "counts") -> DataFrame:
+    """A stream of candidates, distinct in each batch by their source, less the fresh ones; how many were ``enqueued`` and ``skipped_fresh`` is observed in each batch."""
+    known = pages.where(F.col("fetched_at") >= cutoff).select("canonical_url").distinct().withColumn("_fresh", F.lit(True))
+    marked = candidates.join(known, "canonical_url", "left")
+    seen = marked.observe(name, F.count_if(F.col("_fresh").isNull()).alias("enqueued"), F.count_if("_fresh").alias("skipped_fresh"))
+    return seen.where("_fresh is null").drop("_fresh")
 
 
 def admitted_per_domain(urls: DataFrame) -> DataFrame:
