@@ -80,7 +80,10 @@ class Entries(StatefulProcessor):
 
 
 def queued(events: DataFrame, *, buckets: int = 1024, ttl_ms: int | None = None) -> DataFrame:
-    """The status of each URL in each batch of a stream ``events(canonical_url, seq, handled)``, with the seq of its first request and their number."""
+    """The status of each URL in each batch of a stream ``events(canonical_url, seq, handled)``, with the seq of its first request and their number.
+
+    With a time to live, a stream that is to end by itself must run without empty batches.
+    """
     sums = events.select("canonical_url", "seq", "handled").mapInArrow(_combine, _SUMS)
     keyed = sums.withColumn("bucket", F.pmod(F.xxhash64("canonical_url"), F.lit(buckets)).cast("int"))
     return keyed.groupBy("bucket").transformWithStateInPandas(Entries(ttl_ms), STATUS, "append", "processingTime" if ttl_ms else "none")

@@ -34,11 +34,21 @@ class Run:
         """Add a round of rows to what the stream ``name`` reads."""
         rows.write.mode("append").parquet(f"{self.folder}/{name}/in")
 
-    def advance(self, name: str, schema, step: Callable[[DataFrame], DataFrame], mode: str = "append") -> list[dict]:
-        """Run the stream over all rows that it has not read yet. Returns the progress of its batches with rows: number, rows and observed metrics."""
+    def advance(self, name: str, schema, step: Callable[[DataFrame], DataFrame], mode: str = "append", *, empty_batches: bool = True) -> list[dict]:
+        """Run the stream over all rows that it has not read yet. Returns the progress of its batches with rows: number, rows and observed metrics.
+
+        A stream on event time ends with a batch without rows, for what the watermark lets go. One with
+        state that goes by the clock would ask for such batches for ever: turn ``empty_batches`` off.
+        """
+        key = "spark.sql.streaming.noDataMicroBatches.enabled"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, empty_batches)
         rows = self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}/in")
         out = step(rows).writeStream.format("parquet").outputMode(mode).queryName(name)
-        query = out.option("path", f"{self.folder}/{name}/out").option("checkpointLocation", self.checkpoint(name)).trigger(availableNow=True).start()
+        try:
+            query = out.option("path", f"{self.folder}/{name}/out").option("checkpointLocation", self.checkpoint(name)).trigger(availableNow=True).start()
+        finally:
+            self.spark.conf.set(key, before)
         query.awaitTermination()
         return [{"batch": p["batchId"], "rows": p["numInputRows"], **{f"{o}.{k}": v for o, m in p["observedMetrics"].items() for k, v in m.asDict().items()}} for p in query.recentProgress if p["numInputRows"]]
 

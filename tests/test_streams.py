@@ -73,7 +73,7 @@ def test_queue_forgets_after_its_time(spark, tmp_path, few):
         name = f"q{ttl}"
         for rows in (event, [("https://a.dk/", 9, False), ("https://seen.dk/", 9, False)]):
             run.append(name, spark.createDataFrame(rows, queue.EVENTS))
-            run.advance(name, queue.EVENTS, lambda s, ttl=ttl: queue.queued(s, buckets=4, ttl_ms=ttl))
+            run.advance(name, queue.EVENTS, lambda s, ttl=ttl: queue.queued(s, buckets=4, ttl_ms=ttl), empty_batches=False)
         late = [("https://a.dk/", 9, "already-present", 1), ("https://seen.dk/", 9, "already-handled", 1)] if ttl is None else [("https://a.dk/", 9, "new", 1), ("https://seen.dk/", 9, "new", 1)]
         assert rows_of(run.result(name, queue.STATUS), "canonical_url", "seq", "status", "requests") == sorted([("https://a.dk/", 1, "new", 2), *late])
 
