@@ -9,25 +9,18 @@ from pyspark.sql import functions as F
 from larder import constants as C
 from larder.functions import text as T
 from larder.functions import url as U
-
-# the start tag attribute by attribute, without going back; an anchor without an end tag ends where the next one starts
-_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)"
-_ATTRIBUTE = rf"[^\s=>/]++(?:\s*+=\s*+{_VALUE})?+"
-_ANCHOR = rf"(?is)<a(?=[\s/])(?:[\s/]*+(?!href[\s=/>]){_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+({_VALUE})(?:[\s/]*+{_ATTRIBUTE})*+[^>]*+>(.*?)(?:</a\s*>|(?=<a[\s/>])|\z)"
+from larder.operators.anchors import ExtractLinks
 
 
 def explode_links(pages: DataFrame, *keep: str) -> DataFrame:
-    """(page_id, url, pos, href, anchor_text) of every anchor with an href, in the order of the page, and the columns ``keep``."""
-    hrefs, texts = F.regexp_extract_all("html", F.lit(_ANCHOR), 1), F.regexp_extract_all("html", F.lit(_ANCHOR), 2)
-    both = F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text")))
-    rows = pages.select("page_id", "url", *keep, both.alias("pos", "a"))
-    href = F.replace(F.regexp_replace("a.href", r"(?s)^([\"'])(.*)\1$", "$2"), F.lit("&amp;"), F.lit("&"))
-    return rows.select("page_id", "url", *keep, "pos", href.alias("href"), T.clean_text(F.regexp_replace("a.text", "<[^>]+>", "")).alias("anchor_text"))
+    """(page_id, url, pos, href, anchor_text, base) of every anchor with an href, in the order of the page, and the columns ``keep``; ``base`` is the absolute URL that the page's base tag sets, if it has one."""
+    rows = pages.select("page_id", "url", *keep, "html").lateralJoin(ExtractLinks(F.col("html").outer(), F.col("url").outer()))
+    return rows.select("page_id", "url", *keep, "pos", "href", T.clean_text(F.col("anchor_text")).alias("anchor_text"), "base")
 
 
 def candidates(links: DataFrame) -> DataFrame:
-    """Links as absolute and canonical URLs with their domain; those that aren't http(s) go."""
-    absolute = U.resolve(F.col("href"), F.col("url"))
+    """Links as absolute and canonical URLs with their domain, against the page's base tag or else its URL; those that aren't http(s) go."""
+    absolute = U.resolve(F.col("href"), F.coalesce("base", "url"))
     rows = links.withColumn("absolute_url", absolute).withColumn("canonical_url", U.canonicalize(F.col("absolute_url")))
     return rows.withColumn("domain", U.domain(F.col("absolute_url"))).where("canonical_url is not null")
 

@@ -265,6 +265,8 @@ def extract_recipes(spark: SparkSession, d: str) -> DataFrame:
 
 def domain_yield(spark: SparkSession, d: str) -> DataFrame:
     """Pages, languages and link counts per domain with the total: the flagship plan."""
-    pages = read(spark, d, "pages").select(U.domain(F.col("url")).alias("domain"), T.html_language(F.col("html"))["language"].alias("language"), F.size(F.regexp_extract_all("html", F.lit(L._ANCHOR), 1)).alias("links"))
-    out = pages.rollup("domain").agg(F.count("*").alias("pages"), F.count_distinct("language").alias("languages"), F.sum("links").alias("links"), F.grouping("domain").alias("g"))
-    return out.select(F.when(F.col("g") == 1, "all").otherwise(F.col("domain")).alias("domain"), "pages", "languages", "links")
+    pages = read(spark, d, "pages").withColumn("domain", U.domain(F.col("url")))
+    counted = pages.select("domain", T.html_language(F.col("html"))["language"].alias("language")).rollup("domain").agg(F.count("*").alias("pages"), F.count_distinct("language").alias("languages"), F.grouping("domain").alias("g"))
+    linked = L.explode_links(pages, "domain").rollup("domain").agg(F.count("*").alias("links"), F.grouping("domain").alias("g")).select(F.col("domain").alias("_domain"), F.col("g").alias("_g"), "links")
+    out = counted.join(linked, F.col("domain").eqNullSafe(F.col("_domain")) & (F.col("g") == F.col("_g")), "left")
+    return out.select(F.when(F.col("g") == 1, "all").otherwise(F.col("domain")).alias("domain"), "pages", "languages", F.coalesce("links", F.lit(0).cast("long")).alias("links"))
