@@ -83,7 +83,7 @@ def normalize(recipe: Recipe, signals: list[str] | None = None) -> Recipe:
     standard = {
         "name": first("name", "headline", "title"),
         "recipeIngredient": distinct(_strings(held("recipeIngredient", "ingredients"))),
-        "recipeInstructions": distinct(_strings(held("recipeInstructions", "instructions"))),
+        "recipeInstructions": distinct(_strings(recipe.get("recipeInstructions"))),
         "image": _image(recipe.get("image")),
         "recipeYield": first("recipeYield", "yield"),
         **{k: first(k) for k in ("description", "prepTime", "cookTime", "totalTime")},

@@ -71,16 +71,11 @@ _KEYWORDS = ", ".join(f"('{lang}', {words})" for lang, words in C.TEXT_KEYWORDS.
 _EVENTS = "ev AS (SELECT 'd' || (user_id % 20) AS domain, CASE event_type WHEN 'error' THEN 'fallback' WHEN 'signup' THEN 'skip' ELSE 'page' END AS kind, CASE WHEN event_id % 4 = 0 THEN 'playwright' ELSE 'cheerio' END AS mode, event_id % 3 AS recipes FROM events)"
 _RUNS = "runs AS (SELECT strftime(ts, '%Y-%m-%d') AS run, count(*) AS pages, count(*) FILTER (event_type = 'purchase') AS recipes, max(ts) AS finished_at FROM events GROUP BY 1)"
 _ASKED = f"asked AS (SELECT DISTINCT {canon('url')} AS canonical_url FROM pages), fresh AS (SELECT {canon('url')} AS canonical_url FROM pages WHERE TIMESTAMP '2024-01-01' + to_days(cast(page_id % 60 AS INTEGER)) >= TIMESTAMP '2024-02-20' - INTERVAL 30 DAY)"
-_STARTS = ", ".join(f"('{d}', {['https://' + d] + [u]})" for d, _, u in C.SEEDS)
-_MAPS = ", ".join(f"('{d}', {list(dict.fromkeys(x for x in (s, f'https://{d}/sitemap.xml') if x))})" for d, s, _ in C.SEEDS)
 _BREAKS = "replace(regexp_replace(regexp_replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '(?i)</(?:p|div|li|h[1-6]|tr|section|article)>', chr(10), 'g'), '<[^>]+>', '', 'g'), '&nbsp;', ' ')"
 _PARTS = f"list_distinct(list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '(\\.)\\s+([A-ZÆØÅ])', '\\1' || chr(10) || '\\2', 'g'), '\\n+|•'), lambda x: {clean('x')}), lambda x: x <> ''))"
 
 ORACLES = {
     "url_canonical": f"SELECT page_id, {canon('url')} AS canonical_url, {domain('url')} AS domain, true AS is_http FROM pages",
-    "seed_start_urls": f"SELECT d AS domain, cast(unnest(range(0, len(u))) AS INTEGER) AS pos, unnest(u) AS url FROM (VALUES {_STARTS}) AS t(d, u)",
-    "seed_totals": f"SELECT true AS respect_robots, cast({len(C.SEEDS) * C.DEFAULT.pages_per_domain} AS BIGINT) AS max_requests",
-    "sitemap_union": f"SELECT d AS domain, unnest(u) AS url FROM (VALUES {_MAPS}) AS t(d, u)",
     "storage_keys": "SELECT page_id, k AS storage_key, 'queue-' || k AS queue_key FROM (SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(url, '[^a-zA-Z0-9._-]+', '-', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g'), ''), 'run') AS k FROM pages)",
     "page_hash": "SELECT page_id, sha256(html) AS page_content_hash FROM pages",
     "page_language_meta": f"SELECT page_id, coalesce({language_code(_H)}, 'und') AS language, CASE WHEN {language_code(_H)} IS NULL THEN 0.0::DOUBLE ELSE 0.95::DOUBLE END AS confidence FROM pages",

@@ -12,7 +12,6 @@ from larder.operators import extract as X
 from larder.operators import links as L
 from larder.operators import metrics as M
 from larder.operators import store as S
-from larder.sources import seeds as SD
 
 #: The domain that plays the trusted seed in the driver's pages.
 TRUSTED = "example.com"
@@ -26,19 +25,6 @@ def url_canonical(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "pages").select("page_id", U.canonicalize(F.col("url")).alias("canonical_url"), U.domain(F.col("url")).alias("domain"), U.is_http(F.col("url")).alias("is_http"))
 
 
-def seed_start_urls(spark: SparkSession, d: str) -> DataFrame:
-    return SD.start_urls(SD.seeds(spark))
-
-
-def seed_totals(spark: SparkSession, d: str) -> DataFrame:
-    return SD.should_respect_robots(SD.seeds(spark))
-
-
-def sitemap_union(spark: SparkSession, d: str) -> DataFrame:
-    rows = SD.seeds(spark).select("domain", SD.sitemap_sources(F.array("sitemap_url"), F.array(F.concat(F.lit("https://"), "domain", F.lit("/sitemap.xml")))).alias("urls"))
-    return rows.select("domain", F.explode("urls").alias("url"))
-
-
 def storage_keys(spark: SparkSession, d: str) -> DataFrame:
     key = U.storage_key(F.col("url"))
     return read(spark, d, "pages").select("page_id", key.alias("storage_key"), F.concat(F.lit("queue-"), key).alias("queue_key"))
