@@ -112,8 +112,15 @@ def text_with_breaks(root: Node) -> str:
 _WHITE = re.compile("[" + "".join(re.escape(chr(c)) for c in WHITE_CODES) + "]+")
 
 
+_CONTROL = re.compile("[\x1c-\x1f]")
+
+
 def clean(text: str | None) -> str:
-    return _WHITE.sub(" ", text or "").strip(" ")
+    """White space collapsed, none at the ends. ASCII text goes by words: there, only the separators differ in what is white."""
+    text = text or ""
+    if text.isascii() and not _CONTROL.search(text):
+        return " ".join(text.split())
+    return _WHITE.sub(" ", text).strip(" ")
 
 
 def distinct(values) -> list[str]:

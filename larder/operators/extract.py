@@ -156,21 +156,26 @@ def text_blocks(nodes: list[Node]) -> list[str]:
 
 def near_heading(root: Node, words: list[str]) -> list[str]:
     """Items under the first heading that holds a word and has any: list items, else blocks of text."""
-    for heading in root.find(*HEADINGS):
-        if any(w in clean(heading.text()).lower() for w in words):
+    for heading in root.find(*HEADINGS) if words else ():
+        said = clean(heading.text()).lower()
+        if any(w in said for w in words):
             part = below(heading)
             if items := distinct(i.text() for n in part for i in n.find("li")) or text_blocks(part):
                 return items
     return []
 
 
+_LABELS = {*HEADINGS, "dt", "strong", "b"}
+
+
 def near_label(root: Node, words: list[str]) -> str:
     """What stands next to, or else around, the first label that holds a word: headings, terms, labels by class, bold text."""
-    for node in root.walk():
+    for node in root.walk() if words else ():
         kind = node.attrs.get("class", "")
-        if node.tag in (*HEADINGS, "dt", "strong", "b") or "label" in kind or "meta" in kind:
+        if node.tag in _LABELS or "label" in kind or "meta" in kind:
             own = node.text()
-            if any(w in clean(own).lower() for w in words):
+            said = clean(own).lower()
+            if any(w in said for w in words):
                 follower = "".join(n.text() for n in node.following()[:1])
                 if found := clean(follower) or clean(node.parent.text().replace(own, "", 1) if node.parent else ""):
                     return found
@@ -184,11 +189,14 @@ def _meta(root: Node, key: str, value: str) -> str:
 def heuristics(root: Node) -> tuple[Recipe, float, list[str]]:
     """(recipe, confidence, signals) from headings and labels of any page."""
     h1 = clean(next((n.text() for n in root.find("h1")), ""))
+    # what no text of the page holds, no heading or label does
+    page = clean(root.text()).lower()
+    held = lambda words: [w for w in words if w in page]
     recipe: Recipe = {
         "name": h1 or _meta(root, "property", "og:title") or _meta(root, "name", "twitter:title"),
-        "recipeIngredient": near_heading(root, C.INGREDIENT_KEYWORDS),
-        "recipeInstructions": near_heading(root, C.INSTRUCTION_KEYWORDS),
-        **{k: near_label(root, words) for k, words in C.VALUE_KEYWORDS.items()},
+        "recipeIngredient": near_heading(root, held(C.INGREDIENT_KEYWORDS)),
+        "recipeInstructions": near_heading(root, held(C.INSTRUCTION_KEYWORDS)),
+        **{k: near_label(root, held(words)) for k, words in C.VALUE_KEYWORDS.items()},
     }
     seen = lambda k, yes, no: [yes if recipe[k] else no]
     signals = seen("name", "heuristic-title-from-h1" if h1 else "heuristic-title-from-meta", "missing-title")
