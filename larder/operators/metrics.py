@@ -87,3 +87,40 @@ def map_total(counts: Column) -> Column:
 def hits_by_path(requests: DataFrame, url: str = "url") -> DataFrame:
     """Requests of each path."""
     return requests.groupBy(path(F.col(url)).alias("path")).agg(F.count("*").alias("hits"))
+
+
+def _histogram(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """(domain, g, map) counts of a value by domain and in total, keys in the order of the locale."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy("domain", value).agg(F.count("*").alias("n"))
+    totals = counted.groupBy(value).agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("domain"), value, "n", F.lit(1).alias("g"))
+    both = counted.select("domain", value, "n", F.lit(0).alias("g")).unionByName(totals)
+    entries = F.transform(F.array_sort(F.collect_list(F.struct(located(F.col(value)).alias("l"), F.col(value).alias("k"), "n"))), lambda e: F.struct(e["k"].alias("key"), e["n"].alias("value")))
+    return both.groupBy("domain", "g").agg(entries.alias(name))
+
+
+def located(text: Column, locale: str = "UNICODE") -> Column:
+    """A text that sorts as people of the locale sort it: letters before case and accents, not by code points."""
+    return F.collate(text, locale)
+
+
+def summary(events: DataFrame) -> DataFrame:
+    """One row: the totals of a crawl and an array of its domains, in the order of the locale, of ``events(kind, domain, mode, recipes, language, reason, target)``.
+
+    Kinds: page (once for each recipe's language at least), fallback, skip, blocked and off-domain. Histograms are arrays of key and
+    value in the order of the locale. A domain is held whole, its events aren't.
+    """
+    is_ = lambda k, mode=None: (F.col("kind") == k) if mode is None else (F.col("kind") == k) & (F.col("mode") == mode)
+    counters = {
+        "processed": is_("page"), "processed_cheerio": is_("page", "cheerio"), "processed_playwright": is_("page", "playwright"), "recipe_pages": is_("page") & (F.col("recipes") > 0), "fallbacks": is_("fallback"),
+        "skips": is_("skip"), "skips_cheerio": is_("skip", "cheerio"), "skips_playwright": is_("skip", "playwright"), "off_domain": is_("off-domain"),
+    }
+    base = events.rollup("domain").agg(*(F.count_if(c).alias(n) for n, c in counters.items()), F.coalesce(F.sum(F.when(is_("page"), F.col("recipes"))), F.lit(0)).alias("recipes"), F.grouping("domain").cast("int").alias("g"))
+    rows = base.withColumn("recipe_page_yield", F.coalesce(F.try_divide("recipe_pages", "processed"), F.lit(0.0))).withColumn("fallback_rate", F.coalesce(F.try_divide("fallbacks", "processed_cheerio"), F.lit(0.0)))
+    reason = F.when(is_("fallback") | is_("blocked"), F.coalesce("reason", F.lit("unspecified")))
+    for value, name, own in (("language", "languages", events.where(is_("page") & (F.col("recipes") > 0))), ("_fallback", "fallback_reasons", events.withColumn("_fallback", F.when(is_("fallback"), reason))), ("_blocked", "blocked_reasons", events.withColumn("_blocked", F.when(is_("blocked"), reason))), ("_target", "new_domains", events.withColumn("_target", F.when(is_("off-domain"), F.col("target"))))):
+        made = _histogram(own, value, name).select(F.col("domain").alias("_d"), F.col("g").alias("_g"), name)
+        rows = rows.join(made, rows["domain"].eqNullSafe(made["_d"]) & (rows["g"] == made["_g"]), "left").drop("_d", "_g")
+        rows = rows.withColumn(name, F.coalesce(name, F.array().cast("array<struct<key:string,value:bigint>>")))
+    fields = [c for c in rows.columns if c not in ("domain", "g")]
+    own = F.when(F.col("g") == 0, F.struct(located(F.col("domain")).alias("_l"), "domain", *fields))
+    return rows.agg(F.max(F.when(F.col("g") == 1, F.struct(*fields))).alias("totals"), F.transform(F.array_sort(F.collect_list(own)), lambda d: d.dropFields("_l")).alias("domains"))

@@ -94,10 +94,30 @@ def split_seeds(seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     return seeds.where("not requires_js"), seeds.where("requires_js")
 
 
-def allowed_by_robots(links: DataFrame, denied: DataFrame) -> DataFrame:
-    """Links that no rule ``denied(domain, prefix)`` of their domain forbids: the longest rule isn't weighed, every prefix denies."""
-    bad = links.join(denied, "domain").where(F.startswith(U.path(F.col("absolute_url")), F.col("prefix"))).select("canonical_url").distinct()
-    return links.join(bad, "canonical_url", "left_anti")
+def allowed_by_robots(links: DataFrame, rules: DataFrame) -> DataFrame:
+    """Links that ``rules(domain, allow, pattern)`` of their domain let through: the longest pattern that matches decides, an allowing one of two as long.
+
+    A pattern is the beginning of a path with its query; ``*`` stands for anything, ``$`` at its end for the
+    end. Rules are found by what they have before the first of these: of a link only the prefixes of the
+    lengths that its domain's rules have are looked up, not every rule compared. Empty patterns say nothing.
+    Rules ``(domain, prefix)`` deny.
+    """
+    if "pattern" not in rules.columns:
+        rules = rules.select("domain", F.lit(False).alias("allow"), F.col("prefix").alias("pattern"))
+    known = rules.where("pattern <> ''").select("domain", "allow", "pattern", F.regexp_extract("pattern", r"^[^*$]*", 0).alias("head")).distinct()
+    body = F.regexp_replace("pattern", r"\$$", "")
+    quoted = F.array_join(F.transform(F.split(body, r"\*"), lambda x: F.concat(F.lit("\\Q"), x, F.lit("\\E"))), ".*")
+    known = known.withColumn("regex", F.concat(F.lit("(?s)^"), quoted, F.when(F.col("pattern").endswith("$"), "$").otherwise("")))
+    lengths = known.groupBy("domain").agg(F.collect_set(F.length("head")).alias("lengths"))
+    asked = links.select("domain", _asked_path().alias("_path")).distinct()
+    heads = asked.join(lengths, "domain").select("domain", "_path", F.explode(F.filter("lengths", lambda n: n <= F.length("_path"))).alias("n"))
+    hits = heads.withColumn("head", F.expr("left(_path, n)")).join(known, ["domain", "head"]).where(F.rlike("_path", F.col("regex")))
+    denied = hits.groupBy("domain", "_path").agg(F.max_by("allow", F.struct(F.length("pattern"), "allow")).alias("allow")).where("not allow").select("domain", "_path")
+    return links.withColumn("_path", _asked_path()).join(denied, ["domain", "_path"], "left_anti").select(*links.columns)
+
+
+def _asked_path() -> Column:
+    return F.concat(U.path(F.col("absolute_url")), F.regexp_extract("absolute_url", r"^[^?#]*(\?[^#]*)?", 1))
 
 
 def added_off_domain(requests: DataFrame, added: DataFrame) -> DataFrame:

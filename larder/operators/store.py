@@ -78,3 +78,14 @@ def common(left: Column, right: Column) -> Column:
     """What two lists have in common, in the order of the first; a null list is empty."""
     empty = F.array().cast("array<string>")
     return F.array_intersect(F.coalesce(left, empty), F.coalesce(right, empty))
+
+
+def skips(candidates: DataFrame, pages: DataFrame, cutoff: Column, key: str = "canonical_url") -> DataFrame:
+    """How many of ``candidates(canonical_url, domain, mode)``, each URL of a mode once, are skipped as fresh, by domain and mode."""
+    asked = candidates.dropDuplicates([key, "mode"])
+    return fresh(asked, pages, cutoff, key).groupBy("domain", "mode").agg(F.count("*").alias("skipped"))
+
+
+def recipes_by_page(pages: DataFrame, recipes: DataFrame) -> DataFrame:
+    """Pages with their recipes, ``recipes(page_url, ...)``; of a page without one the recipe's columns are null."""
+    return pages.join(recipes, pages["canonical_url"] == recipes["page_url"], "left")

@@ -117,7 +117,6 @@ ORACLES = {
     "start_gaps": "WITH g AS (SELECT event_type AS domain, event_id, ts, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id)) AS gap FROM events) SELECT domain, count(*) AS started, count(gap) AS gaps, cast(coalesce(sum(gap), 0) AS BIGINT) AS gap_sum, coalesce(max(gap), 0) AS gap_max, arg_max(event_id, (ts, event_id)) AS latest_id FROM g GROUP BY domain",
     "nth_sample": "SELECT domain, id, rn FROM (SELECT event_type AS domain, event_id AS id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1 OR rn % 25 = 0",
     "props_variant": "SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
-    "process_tree": "WITH RECURSIVE tree AS (SELECT s_suppkey AS pid, 0 AS depth, s_acctbal AS rss FROM supplier WHERE s_suppkey = 1 UNION ALL SELECT s.s_suppkey, t.depth + 1, s.s_acctbal FROM supplier s JOIN tree t ON s.s_suppkey // 2 = t.pid WHERE s.s_suppkey > 1) SELECT depth, count(*) AS processes, round(sum(rss), 2) AS rss FROM tree GROUP BY depth",
     "domain_yield": f"""WITH p AS (SELECT {domain('url')} AS domain, {language_code(_H)} AS language, len(regexp_extract_all(html, '{_ANCHOR}', 1)) AS links FROM pages)
       SELECT CASE WHEN grouping(domain) = 1 THEN 'all' ELSE domain END AS domain, count(*) AS pages, count(DISTINCT language) AS languages, cast(sum(links) AS BIGINT) AS links FROM p GROUP BY ROLLUP (domain)""",
 }

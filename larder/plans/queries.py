@@ -233,16 +233,6 @@ def props_variant(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").select("event_id", F.try_variant_get(v, "$.k", "long").alias("k"))
 
 
-def process_tree(spark: SparkSession, d: str) -> DataFrame:
-    """Resident sizes summed over the descendants of the root, in a tree where the parent of n is n div 2."""
-    read(spark, d, "supplier").select(F.col("s_suppkey").alias("pid"), F.expr("s_suppkey div 2").alias("ppid"), F.col("s_acctbal").alias("rss")).createOrReplaceTempView("larder_processes")
-    return spark.sql("""
-        WITH RECURSIVE tree(pid, depth, rss) AS (
-          SELECT pid, 0, rss FROM larder_processes WHERE pid = 1
-          UNION ALL SELECT p.pid, t.depth + 1, p.rss FROM larder_processes p JOIN tree t ON p.ppid = t.pid WHERE p.pid > 1)
-        SELECT CAST(depth AS INT) AS depth, count(*) AS processes, round(sum(rss), 2) AS rss FROM tree GROUP BY depth""")
-
-
 def extract_recipes(spark: SparkSession, d: str) -> DataFrame:
     pages = read(spark, d, "pages").select("page_id", U.domain(F.col("url")).alias("domain"), "html")
     found = X.extract_pages(pages)
