@@ -29,7 +29,8 @@ SITEMAP_URLS = 40
 def robots_links(spark: SparkSession, d: str) -> DataFrame:
     """Links that the rules of their domain let through."""
     links = Q.candidates(spark, d)
-    rules = links.select("domain").distinct().crossJoin(F.broadcast(spark.createDataFrame(RULES, "allow boolean, pattern string")))  # a rule list for each domain
+    each = F.explode(F.array(*(F.struct(F.lit(a).alias("allow"), F.lit(p).alias("pattern")) for a, p in RULES)))
+    rules = links.select("domain").distinct().select("domain", each.alias("r")).select("domain", "r.*")
     return P.allowed_by_robots(links, rules).select("page_id", F.col("pos").cast("long").alias("pos"), "absolute_url")
 
 
