@@ -34,21 +34,41 @@ def path(url: Column) -> Column:
     return F.when(found == "", F.lit("/")).otherwise(found)
 
 
+#: What is written as it is in a path, and in a parameter's name or value (fixed values of the URL standard).
+_PATH_PLAIN, _FORM_PLAIN = r"^[!-~&&[^\"<>`{}\\]]*$", r"^[A-Za-z0-9*._+-]*$"
+
+
+def encoded_path(p: Column) -> Column:
+    """A path with backslashes as slashes, and blanks, non-ASCII and unsafe characters as UTF-8 percent escapes; escapes that are there stay."""
+    slashed = F.replace(p, F.lit("\\"), F.lit("/"))
+    one = F.transform(F.split(slashed, ""), lambda c: F.when(F.rlike(c, F.lit(_PATH_PLAIN)), c).otherwise(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))))
+    return F.when(F.rlike(p, F.lit(_PATH_PLAIN)), p).otherwise(F.array_join(one, ""))
+
+
+def encoded_form(x: Column) -> Column:
+    """A parameter's name or value, decoded and written anew: blanks as ``+``, all but letters, digits and ``*-._`` as escapes. What isn't an escape stays as it was said."""
+    return F.when(F.rlike(x, F.lit(_FORM_PLAIN)), x).otherwise(F.url_encode(F.coalesce(F.try_url_decode(x), x)))
+
+
 def canonicalize(url: Column) -> Column:
     """Canonical form of an absolute http(s) URL; null for anything else.
 
     Lower-case scheme and host without ``www.`` and default port, no fragment, tracking parameters
-    gone, the others sorted by name (order kept within a name), one leading /amp/ or /m/ and one
-    trailing slash cut off.
+    gone, the others sorted by name (order kept within a name) and form-encoded, the path
+    percent-encoded, one leading /amp/ or /m/ and one trailing slash cut off. Hosts beyond ASCII stay
+    as they are.
     """
     scheme = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
     host = normalize_domain(F.regexp_extract(url, r"^[^:]+://(?:[^/?#@]*@)?([^/?#]+)", 1))
     host = F.regexp_replace(host, F.when(scheme == "https", F.lit(":443$")).otherwise(F.lit(":80$")), F.lit(""))
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
-    pairs = F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.rlike(F.substring_index(p, "=", 1), F.lit(_STRIPPED)))
-    keyed = F.array_sort(F.transform(pairs, lambda p, i: F.struct(F.substring_index(p, "=", 1).alias("name"), i.alias("at"), F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))).alias("pair"))))
-    rest = F.array_join(F.transform(keyed, lambda s: F.replace(s["pair"], F.lit("%20"), F.lit("+"))), "&")
-    p = F.regexp_replace(path(url), r"^/(?:amp|m)/", "/")
+    name = lambda p: F.substring_index(p, "=", 1)
+    said = lambda x: F.when(F.rlike(x, F.lit("[%+]")), F.coalesce(F.try_url_decode(x), x)).otherwise(x)
+    pairs = F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.rlike(said(name(p)), F.lit(_STRIPPED)))
+    written = lambda p: F.concat(encoded_form(name(p)), F.lit("="), encoded_form(F.substr(p, F.length(name(p)) + 2)))
+    keyed = F.array_sort(F.transform(pairs, lambda p, i: F.struct(said(name(p)).alias("name"), i.alias("at"), written(p).alias("pair"))))
+    rest = F.array_join(F.transform(keyed, lambda s: s["pair"]), "&")
+    p = F.regexp_replace(encoded_path(path(url)), r"^/(?:amp|m)/", "/")
     p = F.when(p == "/", p).otherwise(F.regexp_replace(p, "/$", ""))
     return F.when(is_http(url) & (host != ""), F.concat(scheme, F.lit("://"), host, p, F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("?"), rest))))
 

@@ -23,7 +23,7 @@ def path(u: str) -> str:
 
 
 def canon(u: str) -> str:
-    p = f"regexp_replace({path(u)}, '^/(?:amp|m)/', '/')"
+    p = f"regexp_replace(array_to_string(list_transform(string_split({path(u)}, ''), lambda ch: CASE WHEN regexp_matches(ch, '[^!-~]') THEN url_encode(ch) ELSE ch END), ''), '^/(?:amp|m)/', '/')"
     params = f"list_sort(list_transform(list_filter(string_split(regexp_extract({u}, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^({'|'.join(C.STRIP_PARAMS)})(=|$)')), lambda p: CASE WHEN contains(p, '=') THEN p ELSE p || '=' END))"
     query = f"array_to_string({params}, '&')"
     return f"(lower(regexp_extract({u}, '{_SCHEME}', 1)) || '://' || regexp_replace(lower(regexp_extract({u}, '^[^:]+://([^/?#]+)', 1)), '^www\\.', '') || CASE WHEN {p} = '/' THEN '/' ELSE regexp_replace({p}, '/$', '') END || CASE WHEN {query} = '' THEN '' ELSE '?' || {query} END)"

@@ -98,3 +98,23 @@ def test_formats_at_their_edges(spark):
         T.process_row(F.lit("odd")), T.percent_delta(F.lit(0.125)), T.delta(F.lit(-3)), F.array_join(U.run_names(U.run_id(F.lit(" r/1 "), F.lit(datetime(2026, 1, 2)))), " "), F.array_join(SD.sitemap_roots(F.lit("www.E.dk"), F.array(F.lit("https://maps.e.dk/a.xml"), F.lit("https://e.dk/b"), F.lit("nonsense"))), " "),
     ).first()
     assert tuple(row) == ("a|b|c|d|e|f|g|h|+2", "none", "one two" + "z" * 293, None, "+12.5pp", "-3", " ".join(f"{n}-r-1" for n in U.RUN_NAMES), "https://e.dk https://maps.e.dk")
+
+
+@pytest.mark.parametrize(
+    "raw,wanted",
+    [
+        ("https://e.dk/æ?q=æ", "https://e.dk/%C3%A6?q=%C3%A6"),
+        ("https://e.dk/a?b=1&a=2 3&a=1", "https://e.dk/a?a=2+3&a=1&b=1"),
+        ("https://e.dk/a?x=(1)~*", "https://e.dk/a?x=%281%29%7E*"),
+        ("https://e.dk/a?", "https://e.dk/a"),
+        ("https://e.dk/a?x", "https://e.dk/a?x="),
+        ("https://e.dk/a b/c%20d/%zz", "https://e.dk/a%20b/c%20d/%zz"),
+        ("https://e.dk/a\\b", "https://e.dk/a/b"),
+        ("https://e.dk/a?q=%zz&p=%20", "https://e.dk/a?p=+&q=%25zz"),
+        ("https://e.dk/a?utm%5Fsource=x&r%C3%A9f=y&ref=z", "https://e.dk/a?r%C3%A9f=y"),
+        ("https://e.dk/{x}|y?a=b=c&d=é+f", "https://e.dk/%7Bx%7D|y?a=b%3Dc&d=%C3%A9+f"),
+        ("https://e.dk/😀", "https://e.dk/%F0%9F%98%80"),
+    ],
+)
+def test_urls_beyond_ascii(spark, raw, wanted):
+    assert spark.createDataFrame([(raw,)], "u string").select(U.canonicalize(F.col("u"))).first()[0] == wanted
