@@ -13,8 +13,11 @@ the shingle sets themselves.
 Verification goes in rounds. A linear one tries each document of a crowded segment value with the
 one in the middle of it. Then the look-ups list the pairs of different components, once: two
 documents of crowded values are listed in their first common segment only, and only if they are near
-by a fingerprint of ``WIDE`` words, so that altered copies of one text that aren't similar enough to
-each other aren't listed in pairs. Every document tries its smallest open partner, then its largest,
+by a fingerprint of ``WIDE`` words and, where both are altered copies of one text, similar enough by
+what sets each apart from that text, which the look-up carries: for any set H, the shingles that only
+one of A and B has are those that only one of their differences from H has. So altered copies that
+aren't similar enough to each other aren't listed in pairs, near the threshold or not.
+Every document tries its smallest open partner, then its largest,
 then the rest; verified pairs are joined to components, and pairs within a component need no check.
 So a group of n copies costs about n checks.
 
@@ -55,6 +58,8 @@ COUNTED = 64
 CUT = 1e-4
 #: Words that are compared at least, those of them that look-ups carry, and words of documents of crowded values.
 WORDS, CARRIED, WIDE = 4, 2, 32
+#: Documents that meet at one copy of the text that their sets are compared with.
+SALT = 64
 #: Documents of a segment value that a width is chosen for, as a power of 2: wider segments have shorter lists, but need more of them.
 SPREAD = 7
 
@@ -107,20 +112,30 @@ def wide_fingerprint(hashes: np.ndarray, words: int) -> list[int]:
 
 
 def _narrow(docs: DataFrame, size: int, words: int, most_: int, shared: int) -> DataFrame:
-    """(doc_id, sha, n, fp): a digest of the words, the number of distinct shingles and the fingerprint, of ``words`` words up to ``most_`` shingles, else of ``shared``."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("fp", T.ArrayType(T.LongType()))])
+    """(doc_id, sha, n, fp, apart): a digest of the words, the number of distinct shingles and the fingerprint, of ``words`` words up to ``most_`` shingles, else of ``shared``.
+
+    With a column ``base``, ``apart`` has 32 bits of each shingle that only one of the text and its base
+    has; null if those are over half as many as the text's.
+    """
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("fp", T.ArrayType(T.LongType())), T.StructField("apart", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, known = None, np.zeros(0, np.uint64)
         for batch in slices(batches, "text"):
-            sha, n, fp = [], [], []
-            for t in batch.column("text").to_pylist():
+            sha, n, fp, apart = [], [], [], []
+            for t, base in zip(batch.column("text").to_pylist(), batch.column("base").to_pylist()):
                 sha.append(hashlib.sha256(b" ".join((t or "").encode().lower().split())).hexdigest()[:32])
                 hashes = np.unique(shingle_hashes(t, size))
                 n.append(len(hashes))
                 fp.append(wide_fingerprint(hashes, words if len(hashes) <= most_ else shared))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sha), pa.array(n, pa.int32()), pa.array(fp, pa.list_(pa.int64()))], ["doc_id", "sha", "n", "fp"])
+                if base is not None and base != last:
+                    last, known = base, np.unique(shingle_hashes(base, size))
+                odd = np.setxor1d(hashes, known, assume_unique=True) if base is not None else None
+                apart.append(None if odd is None or 2 * len(odd) > len(hashes) else np.unique(odd.astype(np.uint32).view(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sha), pa.array(n, pa.int32()), pa.array(fp, pa.list_(pa.int64())), pa.array(apart, pa.list_(pa.int32()))], ["doc_id", "sha", "n", "fp", "apart"])
 
-    return arrow(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
+    base = F.col("base") if "base" in docs.columns else F.lit(None).cast("string").alias("base")
+    return arrow(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", base), run, schema)
 
 
 @cache
@@ -145,6 +160,17 @@ def distance(left: str, right: str, words: int) -> Column:
     return reduce(Column.__add__, (F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(words)))
 
 
+def alike(similarity: float) -> Column:
+    """Whether a pair is similar enough by its differences from one text; true if they aren't known.
+
+    A shingle that shares its 32 bits with another may be left out, so what is expected of that and more is allowed for.
+    """
+    both = F.size("xa") + F.size("xb")
+    odd = both - 2 * F.size(F.array_intersect("xa", "xb"))
+    enough = odd <= (F.col("na") + F.col("nb")) * (1 - similarity) / (1 + similarity) + both / 500 + 1e-9
+    return F.when((F.col("ra") == F.col("rb")) & F.col("xa").isNotNull() & F.col("xb").isNotNull(), enough).otherwise(True)
+
+
 def values(width: int, chosen: Iterable[int]) -> Column:
     """The keys of a fingerprint: number and value of each chosen segment in one long."""
     each = 64 // width
@@ -163,19 +189,21 @@ def candidates(prints: DataFrame, width: int, segments: int, shared: int, longes
 
     Segments from ``shared`` on are those of documents of at most ``longest`` shingles. A few segments are
     looked up at a time: shuffle files of earlier ones can go before the next. ``wide`` takes crowded
-    documents: all words of their fingerprints are compared, and a pair is listed once. Without it, pairs
-    of two crowded documents are left out.
+    documents with their ``base`` and what sets them ``apart`` from it: all words of their fingerprints
+    and these differences are compared, and a pair is listed once. Without it, pairs of two crowded
+    documents are left out.
     """
     masks, found = ball(width, radius), []
     at_once = AT_ONCE * (width + 1) // len(masks)
     carried = WIDE if wide else CARRIED
     close = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & near(distance("fa", "fb", carried), F.least("na", "nb"), 64 * carried, similarity)
-    close &= F.shiftright("home", 32) == first_common("fa", "fb", width, segments, radius) if wide else ~(F.col("ca") & F.col("cb"))
+    close &= (F.shiftright("home", 32) == first_common("fa", "fb", width, segments, radius)) & alike(similarity) if wide else ~(F.col("ca") & F.col("cb"))
+    more = [("base", "r"), ("apart", "x")] if wide else []
     chosen = [(prints, range(i, min(shared, i + at_once))) for i in range(0, shared, at_once)]
     chosen += [(prints.where(F.col("n") <= longest), range(i, min(segments, i + at_once))) for i in range(shared, segments, at_once)]
     for part, some in chosen:
         keys = values(width, some)
-        side = lambda x: (F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.slice("fp", 1, max(carried, -(-segments // (64 // width)) if wide else 0)).alias(f"f{x}"), F.col("group").alias(f"g{x}"), F.col("crowded").alias(f"c{x}"))
+        side = lambda x: (F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.slice("fp", 1, max(carried, -(-segments // (64 // width)) if wide else 0)).alias(f"f{x}"), F.col("group").alias(f"g{x}"), F.col("crowded").alias(f"c{x}"), *(F.col(c).alias(k + x) for c, k in more))
         table = part.select(F.explode(keys).alias("key"), *side("b"))
         query = part.select(F.explode(keys).alias("home"), *side("a"))
         if radius:
@@ -198,8 +226,8 @@ def _close(pairs: DataFrame, prints: DataFrame, words: int, similarity: float) -
     return pairs.join(left, "a").join(right, "b").where(near(distance("fa", "fb", words), F.least("na", "nb"), 64 * words, similarity)).select("a", "b")
 
 
-def stars(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of the documents of each crowded segment value with the one in their middle, where groups differ; and the ids of all these documents.
+def stars(prints: DataFrame, width: int, segments: int, words: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of the documents of each crowded segment value with the one in their middle, where groups differ; the ids of all these documents; and (id, h, off), these documents with each such middle and its distance.
 
     Crowded: more than ``CROWD`` times the mean. The middle is the document nearest to the bitwise
     majority of the fingerprints, so of a text and its altered copies about the least altered one.
@@ -216,7 +244,34 @@ def stars(prints: DataFrame, width: int, segments: int, words: int, similarity:
     hubs = put(hubs.select("key", F.col("hub.id").alias("h"), "hub.fh", "hub.nh", "hub.gh"), "hubs")
     close = (F.col("group") != F.col("gh")) & near(F.bit_count(F.col("f").bitwiseXOR(F.col("fh"))), F.least("n", "nh"), 64, similarity)
     pairs = rows.join(hubs, "key").where(close).select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
-    return put(_close(pairs, prints, words, similarity), "stars"), put(rows.select("id").distinct(), "crowded")
+    homes = rows.join(hubs, "key").groupBy("id", "h").agg(F.min(F.bit_count(F.col("f").bitwiseXOR(F.col("fh")))).alias("off"))
+    return put(_close(pairs, prints, words, similarity), "stars"), put(rows.select("id").distinct(), "crowded"), put(homes, "homes")
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """A table of ids, broadcast if it is no longer than a counted bound."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
+def bases(homes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """(id, base): the document that a crowded one is compared with. Of the middles of one component the one of most documents stands for all; of several that are near, that of most documents is taken."""
+    hubs = homes.groupBy("h").count().join(found.withColumnRenamed("node", "h"), "h", "left").withColumn("family", F.coalesce("component", "h"))
+    hubs = put(hubs.select("h", "family", "count"), "families")
+    chosen = hubs.groupBy("family").agg(F.max(F.struct("count", "h")).alias("most"))
+    chosen = put(hubs.join(chosen, "family").select("h", F.col("most.h").alias("base"), (-F.col("most.count")).alias("order")), "chosen")
+    far = F.greatest(F.lit(0), F.col("off") - most(64, bit_difference(similarity)))  # 0 for those that are near
+    return put(homes.join(small(chosen), "h").groupBy("id").agg(F.min(F.struct(far, "order", "base")).getField("base").alias("base")), "bases")
+
+
+def with_base(docs: DataFrame, based: DataFrame) -> DataFrame:
+    """(doc_id, text, base): the documents of ``bases`` with the text that each is compared with, which is there once for ``SALT`` of them."""
+    each = put(based.groupBy("base").agg(F.ceil(F.count("*") / SALT).cast("int").alias("parts")), "members")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = by_ids(plain, each.select(F.col("base").alias("doc_id")), "left_semi").groupBy("doc_id").agg(F.min("text").alias("base_text"))
+    texts = texts.withColumnRenamed("doc_id", "base").join(small(each), "base").select("base", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("base_text"))
+    rows = plain.join(small(based.withColumnRenamed("id", "doc_id")), "doc_id").join(small(each), "base")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")).join(texts, ["base", "part"])
+    return rows.select("doc_id", "text", F.col("base_text").alias("base"))
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -243,8 +298,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) ->
 
 def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi or anti join on doc_id with a table of ids: broadcast only up to a counted bound."""
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", how)
+    return docs.join(small(ids), "doc_id", how)
 
 
 def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: float = 0.003) -> DataFrame:
@@ -253,7 +307,7 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
     width, segments, words = plan(many, similarity, miss)
     _, shared, compared = plan(many, similarity, miss, SHORT + 1)
     longest = math.floor(SHORT / similarity + 1e-9)  # of the partners of short documents
-    narrow = put(_narrow(docs, size, words, longest, compared), "narrow")
+    narrow = put(_narrow(docs.select("doc_id", "text"), size, words, longest, compared).drop("apart"), "narrow")
     reps = put(narrow.groupBy("sha").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("fp").alias("fp")), "reps")
     # an id has a row for each of its texts: any of them may link it
     prints = put(reps.select("id", "n", "fp"), "prints")
@@ -272,7 +326,7 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
         return prints.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "fp", F.coalesce("component", "id").alias("group"))
 
     # stars first: they join most of a large group, whose pairs then needn't be listed
-    pairs, crowded = stars(grouped(), width, shared, compared, similarity)
+    pairs, crowded, homes = stars(grouped(), width, shared, compared, similarity)
     grow(pairs)
     marked = put(grouped().join(crowded.withColumn("crowded", F.lit(True)), "id", "left").fillna(False, "crowded"), "grouped")
     open_ = _close(put(candidates(marked, width, segments, shared, longest, similarity), "near"), prints, compared, similarity).distinct()
@@ -280,9 +334,9 @@ def groups(docs: DataFrame, *, size: int = 5, similarity: float = 0.8, miss: flo
     radius = 0 if plan(many, similarity, miss, radius=0)[2] <= WIDE else 1
     _, segments, words = plan(many, similarity, miss, radius=radius)
     _, shared, _ = plan(many, similarity, miss, SHORT + 1, radius)
-    texts = by_ids(docs, crowded.withColumnRenamed("id", "doc_id"), "left_semi")
-    wide = _narrow(texts, size, max(WIDE, words), 0, max(WIDE, words)).dropDuplicates(["doc_id", "sha"]).withColumnRenamed("doc_id", "id")
-    wide = put(wide.join(marked.where("crowded").select("id", "group", "crowded").distinct(), "id").drop("sha"), "wide")
+    based = bases(homes, found, similarity)
+    wide = _narrow(with_base(docs, based), size, max(WIDE, words), 0, max(WIDE, words)).dropDuplicates(["doc_id", "sha"]).withColumnRenamed("doc_id", "id")
+    wide = put(wide.join(marked.where("crowded").select("id", "group", "crowded").distinct(), "id").join(based, "id").drop("sha"), "wide")
     open_ = put(open_.unionByName(candidates(wide, width, segments, shared, longest, similarity, radius=radius, wide=True)), "pairs")
     low, high = (f("a").over(W.partitionBy("b")) for f in (F.min, F.max))
     turn = F.when(F.col("a") == low, 0).when(F.col("a") == high, 1).otherwise(2)

@@ -842,6 +842,28 @@ def test_a_cloud_of_altered_copies(spark, monkeypatch):
     assert sum(listed) < 4000  # of 33670 pairs
 
 
+def test_altered_copies_under_the_threshold_are_not_listed(spark, monkeypatch):
+    # copies of one text with as many words altered as leave most pairs of them just under the threshold
+    rng, base, rows = random.Random(5), prose(150, 78).split(), []
+    for i in range(160):
+        words = list(base)
+        for _ in range(4 if i % 4 else 2):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, prose(80, i)) for i in range(60)]
+    sets, listed, look_up = {i: set(copies.shingle_hashes(t, 5).tolist()) for i, t in rows}, [], copies.candidates
+
+    def watched(*a, wide=False, **b):
+        found = look_up(*a, wide=wide, **b)
+        listed.extend(map(tuple, found.collect()) if wide else ())
+        return found
+
+    monkeypatch.setattr(copies, "candidates", watched)
+    assert {r["doc_id"] for r in copies.keep_one(docs(spark, rows)).collect()} == brute_kept(rows)
+    shares = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in listed]
+    assert listed and sum(x < 0.8 for x in shares) < len(shares) / 2  # those of different bases may be
+
+
 def test_plan_reaches_its_recall():
     for n in (10, 10**4, 10**7, 10**10):
         width, segments, words = copies.plan(n, 0.8, 0.003)
